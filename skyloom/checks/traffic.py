@@ -223,7 +223,7 @@ select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(greatest(trunc(m), 0
   cast(greatest(-trunc(m), 0) as int) as advance from x""",
 )
 def delay_advance(t: Tables) -> DataFrame:
-    shipped = F.timestamp_seconds(F.unix_seconds("l_shipdate") + (F.col("l_quantity") * 7).cast("bigint"))
+    shipped = F.timestamp_add("SECOND", (F.col("l_quantity") * 7).cast("int"), F.col("l_shipdate"))
     return (
         t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumn("d", delay_and_advance(shipped, F.col("o_orderdate")))

@@ -36,7 +36,8 @@ def hour_floor(c: Column) -> Column:
 
 def minutes_between(later: Column, earlier: Column) -> Column:
     """Whole minutes between two instants, cut toward zero."""
-    return ((F.unix_seconds(later) - F.unix_seconds(earlier)) / 60).cast("int")
+    seconds = F.unix_seconds(later.cast("timestamp")) - F.unix_seconds(earlier.cast("timestamp"))
+    return (seconds / 60).cast("int")
 
 
 def delay_and_advance(reference: Column, scheduled: Column) -> Column:
