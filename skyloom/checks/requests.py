@@ -1,0 +1,145 @@
+"""Requests matched to flights, scored, and streamed."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, functions as F
+
+from skyloom.checks.base import LINE_ORDER, Tables, airport_of, query, sql_airport
+from skyloom.checks.model import FEATURES, fitted
+from skyloom.operators import features as ft
+from skyloom.operators.matching import codeshare_only, match, matches_number
+from skyloom.plans import scoring as sc
+from skyloom.plans import training as tr
+from skyloom.functions.text import valid_request
+from skyloom.session import shared_folder
+from skyloom.streaming import requests as rs
+
+ORDER = [*LINE_ORDER, "l_orderkey", "l_linenumber"]
+_ORDER = ", ".join(ORDER)
+
+
+def flights(t: Tables) -> DataFrame:
+    clock = "date_format(l_shipdate + make_interval(0,0,0,0,0,cast(l_partkey * 7 % 1440 as int)), \"yyyy-MM-dd HH:mm'+02:00'\")"
+    return t.lineitem.select(
+        *ORDER,
+        F.concat(F.lit("ZZ "), "l_suppkey").alias("flight_number"),
+        F.expr("case when l_partkey % 4 = 0 then array(concat('yy ', l_partkey % 100)) else array() end").alias("codeshares"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("flight_date"),
+        airport_of(F.col("l_partkey")).alias("airport_origin"),
+        airport_of(F.col("l_orderkey")).alias("airport_destination"),
+        F.expr(f"case when l_linenumber = 7 then null else {clock} end").alias("scheduled_departure"),
+    )
+
+
+def requests(t: Tables) -> DataFrame:
+    """Every order asks for a flight; some give a day only, some name a codeshare."""
+    return t.orders.select(
+        F.col("o_orderkey").cast("string").alias("request_id"),
+        F.expr("concat(case when o_orderkey % 3 > 0 then 'zz' else 'YY ' end, o_custkey % 100)").alias("flight_number"),
+        F.expr(
+            """concat(date_format(o_orderdate, 'yyyy-MM-dd'), case when o_orderkey % 10 = 0 then '' else
+            concat('T', lpad(o_orderkey % 24, 2, '0'), ':', lpad(o_custkey % 60, 2, '0'), ':00') end)"""
+        ).alias("date"),
+        F.concat(airport_of(F.col("o_custkey")), F.lit(" - somewhere")).alias("departure_airport"),
+        F.when(F.col("o_orderkey") % 4 > 0, airport_of(F.col("o_orderkey"))).alias("arrival_airport"),
+    )
+
+
+SQL_MATCH = f"""
+flights as (
+  select row_number() over (order by {_ORDER}) as place, 'ZZ ' || l_suppkey as flight_number, 'ZZ' || l_suppkey as principal,
+    case when l_partkey % 4 = 0 then 'YY' || (l_partkey % 100) end as codeshare, strftime(l_shipdate, '%Y-%m-%d') as day,
+    {sql_airport('l_partkey')} as o, {sql_airport('l_orderkey')} as d, case when l_linenumber <> 7 then l_partkey * 7 % 1440 end as minute,
+    case when l_linenumber <> 7 then strftime(l_shipdate + to_minutes(l_partkey * 7 % 1440), '%Y-%m-%d %H:%M') || '+02:00' end as scheduled_departure
+  from lineitem),
+cand as (select principal as number, * from flights union all select codeshare, * from flights where codeshare is not null),
+asked as (
+  select cast(o_orderkey as varchar) as request_id, case when o_orderkey % 3 > 0 then 'ZZ' else 'YY' end || (o_custkey % 100) as number,
+    strftime(o_orderdate, '%Y-%m-%d') as day, case when o_orderkey % 10 > 0 then o_orderkey % 24 * 60 + o_custkey % 60 end as asked_minute,
+    {sql_airport('o_custkey')} as origin, case when o_orderkey % 4 > 0 then {sql_airport('o_orderkey')} end as destination from orders),
+p1 as (select a.*, c.* exclude (number, day), abs(minute - asked_minute) as gap, o = origin as ok_o, coalesce(d = destination, false) as ok_d
+  from asked a join cand c on c.number = a.number and c.day = a.day),
+p2 as (select * from p1 qualify ok_o or not bool_or(ok_o) over (partition by request_id)),
+p3 as (select * from p2 qualify ok_d or not bool_or(ok_d) over (partition by request_id)),
+best as (select *, min(gap) over (partition by request_id) as best_gap,
+  row_number() over (partition by request_id order by gap nulls last, place) as r_gap, row_number() over (partition by request_id order by place) as r_place from p3),
+picked as (select * from best where case when best_gap is null then r_place = 1 else r_gap = 1 end),
+matched as (
+  select request_id, case when p.request_id is null then 'error_flight_not_found' when best_gap > 30 then 'error_time_mismatch'
+      when principal <> a.number then 'success_with_warning_codeshare' else 'success' end as status,
+    case when p.request_id is null then 'FLIGHT_NOT_FOUND' when best_gap > 30 then 'TIME_MISMATCH' end as error_code,
+    case when coalesce(best_gap, 0) <= 30 then flight_number end as matched_flight_number,
+    case when coalesce(best_gap, 0) <= 30 then scheduled_departure end as matched_scheduled_departure,
+    case when coalesce(best_gap, 0) <= 30 then o end as matched_departure_airport,
+    case when coalesce(best_gap, 0) <= 30 then d end as matched_arrival_airport, cast(best_gap as int) as best_time_diff_minutes
+  from asked a left join picked p using (request_id))"""
+
+
+@query("request_match", f"with {SQL_MATCH} select * from matched")
+def request_match(t: Tables) -> DataFrame:
+    return match(requests(t), flights(t), ORDER)
+
+
+@query("request_outcomes", f"with {SQL_MATCH} select status, count(*) as n from matched group by 1")
+def request_outcomes(t: Tables) -> DataFrame:
+    return match(requests(t), flights(t), ORDER).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "codeshare_match",
+    """select l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  'ZZ' || l_suppkey = 'YY' || (l_orderkey % 100) or (l_partkey % 4 = 0 and l_partkey % 100 = l_orderkey % 100) as matches,
+  l_partkey % 4 = 0 and l_partkey % 100 = l_orderkey % 100 as codeshare from lineitem""",
+)
+def codeshare_match(t: Tables) -> DataFrame:
+    wanted = F.concat(F.lit("yy "), F.col("l_orderkey") % 100)
+    args = F.col("flight_number"), F.col("codeshares"), wanted
+    return flights(t).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        matches_number(*args).alias("matches"), codeshare_only(*args).alias("codeshare"),
+    )
+
+
+@query(
+    "request_check",
+    f"""select cast(o_orderkey as varchar) as request_id,
+  ({sql_airport('o_custkey')} || ' - somewhere') is distinct from case when o_orderkey % 4 > 0 then {sql_airport('o_orderkey')} end as valid from orders""",
+)
+def request_check(t: Tables) -> DataFrame:
+    ok = valid_request(F.col("flight_number"), F.col("departure_airport"), F.col("arrival_airport"))
+    return requests(t).select("request_id", ok.alias("valid"))
+
+
+def _scored(t: Tables, answers: DataFrame, models) -> DataFrame:
+    classifier, regressor = models
+    known = flights(t).selectExpr(
+        "flight_number", "scheduled_departure", "airport_origin", "airport_destination", *ORDER,
+        "l_returnflag as flag", "l_linestatus as status_code",
+    )
+    found = sc.answered_rows(answers, known, ORDER)
+    rows = found.withColumnsRenamed({"status": "outcome", "status_code": "status"})
+    rows = rows.select("request_id", "outcome", *[c for c in rows.columns if c in FEATURES])
+    return sc.predictions(rows, ["request_id", "outcome"], classifier[0], classifier[1], regressor[0], regressor[1])
+
+
+@query("score_requests")
+def score_requests(t: Tables) -> DataFrame:
+    """Every order's request matched, its flight scored by both models; unmatched ones too, on medians."""
+    classifier = fitted(t, tr.boosted_classifier(maxIter=3, maxDepth=3), ft.TARGET)[:2]
+    regressor = fitted(t, tr.boosted_regressor(maxIter=3, maxDepth=3), None)[:2]
+    return _scored(t, match(requests(t), flights(t), ORDER), (classifier, regressor))
+
+
+@query("request_stream", f"with {SQL_MATCH} select * from matched")
+def request_stream(t: Tables) -> DataFrame:
+    """The requests landed as JSON files and answered as a stream; same answers as the batch."""
+    folder = f"{shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"
+    landed = requests(t).withColumn(rs.EVENT_TIME, F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    landed.repartition(4, "request_id").write.json(f"{folder}/in")
+    job = rs.answer_stream(
+        rs.read_requests(t.spark, f"{folder}/in"), flights(t), ORDER, f"{folder}/out", f"{folder}/state"
+    )
+    job.awaitTermination()
+    return rs.read_answers(t.spark, f"{folder}/out")

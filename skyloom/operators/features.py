@@ -258,11 +258,16 @@ def hash_cuts(df: DataFrame, keys: Sequence[str], shares: Sequence[float], seed:
     )
     # One row per stratum and cut, so the broadcast is bounded by their number.
     edge = F.broadcast(settle(placed))
-    inside = hashed.join(edge, ["stratum", "prefix"]).select("stratum", "cut", "h", "before", "target")
-    rank = Window.partitionBy("stratum", "cut").orderBy("h")
+    # Copies of a key share their hash and count as one entry, so they never pile up in a window.
+    inside = hashed.join(edge, ["stratum", "prefix"]).groupBy("stratum", "cut", "h", "before", "target").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    upto_here = Window.partitionBy("stratum", "cut").orderBy("h")
     return (
-        inside.withColumn("place", F.row_number().over(rank) + F.col("before"))
-        .where("place = target")
+        inside.withColumn("place", F.sum("n").over(upto_here) + F.col("before"))
+        .where("place >= target")
+        .groupBy("stratum", "cut")
+        .agg(F.min("h").alias("h"))
         .groupBy("stratum")
         .agg(F.array_sort(F.collect_list("h")).alias("cuts"))
     )
@@ -271,7 +276,10 @@ def hash_cuts(df: DataFrame, keys: Sequence[str], shares: Sequence[float], seed:
 def assign_parts(
     df: DataFrame, keys: Sequence[str], shares: Sequence[float], seed: int = 42, by: str | None = None, name: str = "part"
 ) -> DataFrame:
-    """Number the part of each row: 0 up to the first cut, and so on. ``keys`` must be unique."""
+    """Number the part of each row: 0 up to the first cut, and so on.
+
+    Rows with equal ``keys`` stay together; with unique keys the parts have their exact sizes.
+    """
     cuts = settle(hash_cuts(df, keys, shares, seed, by))
     stratum = F.lit(0) if by is None else F.col(f"`{by}`")
     keyed = df.withColumn("__stratum", stratum).withColumn("__h", seeded_hash(keys, seed))

@@ -12,7 +12,15 @@ from skyloom.functions.values import min_max, weighted
 def correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Correlation of each feature with the target, undefined ones 0; one pass."""
     y = F.col(f"`{target}`").cast("double")
-    row = df.agg(*[F.corr(F.col(f"`{c}`").cast("double"), y).alias(c) for c in features])
+
+    def correlation(name: str) -> Column:
+        # By parts, since ``corr`` raises on a constant column in ANSI mode.
+        x = F.col(f"`{name}`").cast("double")
+        both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        spread = F.stddev_pop(both_x) * F.stddev_pop(both_y)
+        return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+
+    row = df.agg(*[correlation(c).alias(c) for c in features])
     long = row.unpivot([], list(features), "raw_feature", "corr_with_target")
     value = F.coalesce(F.nanvl(F.col("corr_with_target"), F.lit(0.0)), F.lit(0.0))
     return long.withColumn("corr_with_target", value).withColumn("abs_corr", F.abs("corr_with_target"))

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 from skyloom.functions.values import not_negative, risk_band
 from skyloom.operators.distinct import keep_first
 from skyloom.operators.features import date_parts
-from skyloom.operators.matching import match
 from skyloom.plans.training import Encoding
 
 MATCHED = ["flight_number", "scheduled_departure", "airport_origin", "airport_destination"]
@@ -34,19 +33,15 @@ def overlay(df: DataFrame, reference: DataFrame, keep: Sequence[str] = ()) -> Da
     )
 
 
-def answered(requests: DataFrame, flights: DataFrame, order: list[str]) -> DataFrame:
-    """Each request with its match and, where there is one, the matched flight's row."""
-    found = match(requests, flights, order)
-    columns = flights.columns
+def answered_rows(answers: DataFrame, flights: DataFrame, order: list[str]) -> DataFrame:
+    """Each answered request with the row of its flight; unanswered ones carry nulls."""
     first = keep_first(flights, MATCHED, [F.col(c).asc_nulls_last() for c in order])
-    renamed = first.select(*[F.col(f"`{c}`").alias(f"flight_{c}") for c in columns])
-    pairs = dict(zip(MATCHED_AS, [f"flight_{c}" for c in MATCHED]))
-    test = None
-    for mine, theirs in pairs.items():
-        equal = F.col(mine).eqNullSafe(F.col(theirs))
-        test = equal if test is None else test & equal
-    joined = found.join(renamed, test & F.col("matched_flight_number").isNotNull(), "left")
-    return joined.select(*found.columns, *[F.col(f"flight_{c}").alias(c) for c in columns])
+    renamed = first.select(*[F.col(f"`{c}`").alias(f"__{c}") for c in flights.columns])
+    test = F.col("matched_flight_number").isNotNull()
+    for mine, theirs in zip(MATCHED_AS, MATCHED):
+        test = test & F.col(mine).eqNullSafe(F.col(f"__{theirs}"))
+    joined = answers.join(renamed, test, "left")
+    return joined.select(*answers.columns, *[F.col(f"__{c}").alias(c) for c in flights.columns])
 
 
 def predictions(
