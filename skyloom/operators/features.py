@@ -13,10 +13,10 @@ from skyloom.constants import FEATURE_DATE_COLUMNS, FLIGHT_KEYS, LATE_AFTER_MINU
 from skyloom.functions.times import wall_clock
 from skyloom.functions.values import late_label
 from skyloom.operators.distinct import keep_unique
-from skyloom.operators.lookup import MAX_BYTES, MAX_ROWS, attach, measure
+from skyloom.operators.lookup import MAX_BYTES, MAX_ROWS, attach, measure, sized
 from skyloom.operators.profile import purge
 from skyloom.operators.slices import ROWS_PER_SLICE, ordinals
-from skyloom.session import settle
+from skyloom.session import settle, stored
 
 TARGET = "retard_arrivee"
 MISSING_CATEGORY = "nan"
@@ -73,7 +73,8 @@ def training_table(
     fill_target: bool = True,
 ) -> DataFrame:
     """Flights seen once, purged and filled, with the late label; the older label is dropped."""
-    unique = keep_unique(flights, list(FLIGHT_KEYS))
+    # Read by the null shares, the slice limits and the fill; the shuffle behind it runs once.
+    unique = stored(keep_unique(flights, list(FLIGHT_KEYS)))
     clean = purge(unique, order, extra_keep=extra_keep, fill_target=fill_target)
     return clean.withColumn(TARGET, late_label(F.col("arrival_delay_min"), late_after)).drop("retard arrivée")
 
@@ -256,8 +257,8 @@ def hash_cuts(df: DataFrame, keys: Sequence[str], shares: Sequence[float], seed:
         )
         .where("target > before and target <= before + n")
     )
-    # One row per stratum and cut, so the broadcast is bounded by their number.
-    edge = F.broadcast(settle(placed))
+    # One row per stratum and cut.
+    edge = sized(placed)
     # Copies of a key share their hash and count as one entry, so they never pile up in a window.
     inside = hashed.join(edge, ["stratum", "prefix"]).groupBy("stratum", "cut", "h", "before", "target").agg(
         F.count(F.lit(1)).alias("n")
@@ -280,11 +281,11 @@ def assign_parts(
 
     Rows with equal ``keys`` stay together; with unique keys the parts have their exact sizes.
     """
-    cuts = settle(hash_cuts(df, keys, shares, seed, by))
+    # One row per stratum.
+    cuts = sized(hash_cuts(df, keys, shares, seed, by))
     stratum = F.lit(0) if by is None else F.col(f"`{by}`")
     keyed = df.withColumn("__stratum", stratum).withColumn("__h", seeded_hash(keys, seed))
-    # One row per stratum.
-    joined = attach(keyed, F.broadcast(cuts), {"__stratum": "stratum"}, null_keys_match=True)
+    joined = attach(keyed, cuts, {"__stratum": "stratum"}, null_keys_match=True)
     part = F.size(F.filter("cuts", lambda cut: cut < F.col("__h")))
     return joined.withColumn(name, part).drop("__stratum", "__h", "cuts")
 

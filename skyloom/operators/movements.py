@@ -100,8 +100,8 @@ def records(flights: DataFrame) -> DataFrame:
     """Movement records of ``board_flights``; one end is always the airport that was asked."""
     f = F.col("flight")
     departing = F.col("movement_type") == "departure"
-    sd, rd, ad = (f[f"departure"][t]["local"] for t in ("scheduledTime", "revisedTime", "actualTime"))
-    sa, ra, aa = (f[f"arrival"][t]["local"] for t in ("scheduledTime", "revisedTime", "actualTime"))
+    sd, rd, ad = (f["departure"][t]["local"] for t in ("scheduledTime", "revisedTime", "actualTime"))
+    sa, ra, aa = (f["arrival"][t]["local"] for t in ("scheduledTime", "revisedTime", "actualTime"))
     own_schedule = F.when(departing, sd).otherwise(sa)
     step = flights.select(
         *[c for c in READING_ORDER if c in flights.columns],
@@ -153,7 +153,7 @@ def departure_records(flights: DataFrame, queried_airport: str | Column) -> Data
             F.lit("departure").alias("movement_type"),
             F.struct("*").alias("flight"),
         )
-    )
+    ).drop("queried_airport")
 
 
 def merge_records(df: DataFrame, order: list[str] = READING_ORDER, keys: list[str] = MERGE_KEYS) -> DataFrame:
@@ -175,8 +175,12 @@ def merge_records(df: DataFrame, order: list[str] = READING_ORDER, keys: list[st
 
 
 def movement_table(boards: DataFrame) -> DataFrame:
-    """Target-route flights from landed boards: merged, deduplicated, one row per flight."""
-    flights = records(board_flights(boards))
+    """Target-route flights from landed boards."""
+    return merged_flights(records(board_flights(boards)))
+
+
+def merged_flights(flights: DataFrame) -> DataFrame:
+    """Movement records -> target-route flights: merged, deduplicated, one row per flight."""
     wanted = target_route(F.col("airport_origin"), F.col("airport_destination"))
     merged = merge_records(flights.where(wanted)).where(wanted)
     first = keep_first(merged, IDENTITY, [F.col(c).asc_nulls_last() for c in ("airline", "movement_date")])

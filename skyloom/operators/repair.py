@@ -10,6 +10,7 @@ from skyloom.constants import FLIGHT_KEYS
 from skyloom.operators.distinct import repeated_rows
 from skyloom.operators.shaping import stack
 from skyloom.operators.slices import ROWS_PER_SLICE, ordinals
+from skyloom.session import stored
 
 ORDINAL = "n_vol"
 
@@ -56,7 +57,8 @@ def repair_pairs(
     if not {*keys, "movement_type"} <= set(flights.columns):
         return flights
     single = repeated_rows(flights, keys, present=False)
-    repeated = repeated_rows(flights, keys)
+    # Both sides are counted, cut and numbered; the join that finds the rows runs once.
+    repeated = stored(repeated_rows(flights, keys))
     dep, arr = _sides(repeated, keys, dep_order, arr_order, rows_per_slice)
     return stack(single, _paired(dep, arr, keys, "inner", ("_dep", "_arr")))
 
@@ -74,7 +76,8 @@ def repair_left(
     """
     keys = list(keys)
     single = repeated_rows(flights, keys, present=False)
-    repeated = repeated_rows(flights, keys)
+    # Both sides are counted, cut and numbered; the join that finds the rows runs once.
+    repeated = stored(repeated_rows(flights, keys))
     dep, arr = _sides(
         repeated, keys,
         [c for c in dep_order if c in flights.columns], [c for c in arr_order if c in flights.columns],

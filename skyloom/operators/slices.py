@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ROWS_PER_SLICE = 2_000_000
+ROWS_PER_SLICE = 500_000
 MAX_SLICES = 4096
 SAMPLES_PER_SLICE = 20
 SLICE = "__slice"
@@ -115,6 +115,8 @@ def fill_both_ways(
     """Give each missing value the last one before it in order, else the first one after it."""
     columns = list(columns) if columns is not None else [c for c in df.columns if c not in order]
     slices = Slices(df, order, rows_per_slice)
+    if slices.single:
+        return _fill_one_slice(df, slices.sort(), columns)
     cut = slices.assign(df)
     key = slices.key
     last_here = [
@@ -145,6 +147,21 @@ def fill_both_ways(
     return joined.select(*[value[c].alias(c) if c in value else F.col(f"`{c}`") for c in df.columns])
 
 
+def _fill_one_slice(df: DataFrame, sort: list[Column], columns: Sequence[str]) -> DataFrame:
+    """The same fill for a table that fits one slice (at most ``rows_per_slice`` rows)."""
+    upto = Window.orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return df.withColumns(
+        {
+            c: F.coalesce(
+                F.last(F.col(f"`{c}`"), ignorenulls=True).over(upto),
+                F.first(F.col(f"`{c}`"), ignorenulls=True).over(whole),
+            )
+            for c in columns
+        }
+    )
+
+
 def ordinals(
     df: DataFrame,
     keys: Sequence[str],

@@ -13,7 +13,7 @@ from skyloom.operators import movements as mov
 from skyloom.operators import signoff as sign
 from skyloom.operators import strikes as news
 from skyloom.operators.weather import add_weather
-from skyloom.session import settle
+from skyloom.session import settle, stored
 
 
 @dataclass(frozen=True)
@@ -51,10 +51,13 @@ def enriched(
 def flight_history(
     boards: DataFrame, weather: DataFrame, articles: DataFrame, first: str, last: str, rules: Rules = Rules()
 ) -> DataFrame:
-    """The labelled table before ``finish``; its only shuffle of flights is the record merge."""
-    all_movements = mov.records(mov.board_flights(boards))
+    """The labelled table before ``finish``; its only shuffle of flights is the record merge.
+
+    Boards are parsed once: the records serve both the counts and the flights.
+    """
+    all_movements = stored(mov.records(mov.board_flights(boards)))
     table = cong.lookup_table(congestion_of(all_movements, rules))
-    flights = mov.movement_table(boards)
+    flights = mov.merged_flights(all_movements)
     days = cal.calendar(cal.day_spine(boards.sparkSession, first, last))
     joined = enriched(flights, weather, days, strikes_of(articles, first, last))
     return sign.signoff(joined, table, rules.late_after)

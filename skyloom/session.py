@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared folder, so lost executors cost no recompute."""
+    """Compute a small table once and keep it in the shared folder: lost executors cost no recompute."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Compute a large table once and keep it as parquet in the shared folder.
+
+    For tables that are read several times afterwards: each reading scans only its columns.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
