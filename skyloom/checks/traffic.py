@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from skyloom.checks.base import (
@@ -11,7 +13,8 @@ from skyloom.checks.base import (
 from skyloom.functions.times import delay_and_advance, half_day_slot, half_day_slots
 from skyloom.operators import congestion as cong
 from skyloom.operators import movements as mov
-from skyloom.schemas import BOARD
+from skyloom.session import shared_folder
+from skyloom.sources.boards import read_boards
 
 
 @query(
@@ -260,7 +263,7 @@ def actual_or_fallback(t: Tables) -> DataFrame:
 
 
 def boards(t: Tables) -> DataFrame:
-    """Orders as landed board replies: each is seen leaving its origin and arriving at its destination."""
+    """Orders as board replies, landed as JSON files: each is seen leaving its origin and arriving at its destination."""
     moment = "date_format(o_orderdate + make_interval(0,0,0,0,0,{m}), \"yyyy-MM-dd HH:mm'+00:00'\")"
     planned = moment.format(m="cast(o_orderkey % 1200 as int)")
     landing = moment.format(m="cast(o_orderkey % 1200 + 90 as int)")
@@ -297,7 +300,9 @@ def boards(t: Tables) -> DataFrame:
     landed = sides.select(
         F.to_json(F.struct("b.queried_airport", F.format_string("%012d", "o_orderkey").alias("slot_start"), "b.departures", "b.arrivals")).alias("json")
     )
-    return landed.select(F.from_json("json", BOARD).alias("b")).select("b.*")
+    path = f"{shared_folder(t.spark)}/boards-{uuid.uuid4().hex}"
+    landed.write.text(path)
+    return read_boards(t.spark, path)
 
 
 def _codes():

@@ -8,11 +8,14 @@ from skyloom.constants import EASTER_HOLIDAYS, FIXED_HOLIDAYS
 
 
 def instant(c: Column) -> Column:
-    """Board time with offset or ``Z`` -> instant; unreadable values become null."""
-    return F.coalesce(
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mmXXX")),
-        F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}"), c.try_cast("timestamp")),
-    )
+    """Board time with offset or ``Z`` -> instant; unreadable values become null.
+
+    Seconds are put in where they are missing: a plain cast then reads the text, which is many
+    times faster than parsing by pattern.
+    """
+    seconds_missing = F.substring(c, 17, 1).isin("Z", "+", "-")
+    whole = F.when(seconds_missing, F.concat(F.substring(c, 1, 16), F.lit(":00"), F.substring(c, 17, 30))).otherwise(c)
+    return F.when(F.substring(c, 5, 1) == "-", whole.try_cast("timestamp"))
 
 
 def wall_clock(c: Column) -> Column:

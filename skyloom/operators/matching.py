@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skyloom.constants import MATCH_TOLERANCE_MINUTES
 from skyloom.functions.text import airport_code, day_and_hour, flight_code
 from skyloom.functions.times import clock_minutes, minute_of_day, wall_clock
+from skyloom.operators.distinct import keep_first
 
 FOUND = ["flight_number", "scheduled_departure", "airport_origin", "airport_destination"]
 QUESTION = ["number", "day", "hour", "origin", "destination"]
@@ -47,27 +48,24 @@ def candidates(flights: DataFrame, order: list[str]) -> DataFrame:
     are reduced to the first one, before and after the shuffle: what a request has to be
     compared with does not grow with the number of copies of a flight.
     """
-    principal = flight_code(F.col("flight_number"))
-    names = F.array(principal)
+    names = F.array("flight_number")
     if "codeshares" in flights.columns:
-        shared = F.coalesce(F.col("codeshares"), F.array().cast("array<string>"))
-        names = F.array_distinct(F.concat(names, F.transform(shared, flight_code)))
-    day = F.col("flight_date").cast("string")
-    rows = flights.select(
-        F.explode(names).alias("number"),
-        day.alias("day"),
+        names = F.concat(names, F.coalesce(F.col("codeshares"), F.array().cast("array<string>")))
+    rows = flights.select("*", F.explode(names).alias("__name")).select(
+        flight_code(F.col("__name")).alias("number"),
+        F.col("flight_date").cast("string").alias("day"),
         F.coalesce(F.upper(F.trim("airport_origin")), F.lit("")).alias("from"),
         F.coalesce(F.upper(F.trim("airport_destination")), F.lit("")).alias("to"),
         minute_of_day(wall_clock(F.col("scheduled_departure"))).alias("minute"),
-        principal.alias("principal"),
-        F.struct(*order).alias("place"),
+        flight_code(F.col("flight_number")).alias("principal"),
+        *[F.col(c).alias(f"place_{i}") for i, c in enumerate(order)],
         F.struct(*FOUND).alias("flight"),
     )
-    return (
-        rows.groupBy("number", "day", "from", "to", "minute")
-        .agg(F.min_by(F.struct("place", "flight", "principal"), "place").alias("first"))
-        .select("number", "day", "from", "to", "minute", "first.*")
-    )
+    return keep_first(rows, ["number", "day", "from", "to", "minute"], _places(order))
+
+
+def _places(order: list[str]) -> list[Column]:
+    return [F.col(f"place_{i}").asc_nulls_last() for i in range(len(order))]
 
 
 def match(
@@ -86,36 +84,18 @@ def match(
     pairs = distinct.join(offered, ["number", "day"])
     origin_ok = F.col("from") == F.col("origin")
     dest_ok = (F.col("to") == F.col("destination")) & (F.col("destination") != "")
+    # Flights that agree in the origin hide all others, then those that agree in the destination:
+    # both rules keep the flights of the highest level. Among these the nearest readable time wins.
+    level = origin_ok.cast("int") * 2 + dest_ok.cast("int")
     gap = F.when(F.col("hour") != "", F.abs(F.col("minute") - clock_minutes(F.col("hour"))))
-    subsets = {"all": F.lit(True), "o": origin_ok, "d": dest_ok, "od": origin_ok & dest_ok}
-    aggregates = []
-    for name, test in subsets.items():
-        best = F.struct(gap.alias("gap"), "place", "flight", "principal")
-        first = F.struct("place", "flight", "principal")
-        aggregates += [
-            F.min_by(best, F.when(test & gap.isNotNull(), F.struct(gap, "place"))).alias(f"best_{name}"),
-            F.min_by(first, F.when(test, F.col("place"))).alias(f"first_{name}"),
-        ]
-    answers = pairs.groupBy(*QUESTION).agg(*aggregates)
-
-    def chosen(kind: str) -> Column:
-        has = {n: F.col(f"first_{n}").isNotNull() for n in subsets}
-        return (
-            F.when(has["od"], F.col(f"{kind}_od"))
-            .when(has["o"], F.col(f"{kind}_o"))
-            .when(has["d"], F.col(f"{kind}_d"))
-            .otherwise(F.col(f"{kind}_all"))
-        )
-
-    picked = answers.select(*QUESTION, chosen("best").alias("best"), chosen("first").alias("first"))
-    timed = F.col("best").isNotNull()
-    near = timed & (F.col("best.gap") <= tolerance)
-    result = F.when(near, F.struct("best.flight", "best.principal")).when(
-        ~timed, F.struct("first.flight", "first.principal")
+    judged = pairs.select("*", level.alias("level"), gap.alias("gap"))
+    best = keep_first(judged, QUESTION, [F.desc("level"), F.col("gap").asc_nulls_last(), *_places(order)])
+    near = F.col("gap").isNull() | (F.col("gap") <= tolerance)
+    resolved = best.select(
+        *QUESTION, "gap", F.when(near, F.struct("flight", "principal")).alias("result"), F.lit(True).alias("__seen")
     )
-    resolved = picked.select(*QUESTION, F.col("best.gap").alias("gap"), result.alias("result"))
     missing, found = F.col("__seen").isNull(), F.col("result").isNotNull()
-    joined = asked.join(resolved.withColumn("__seen", F.lit(True)), QUESTION, "left")
+    joined = asked.join(resolved, QUESTION, "left")
     shared = F.col("result.principal") != F.col("number")
     return joined.select(
         "request_id",

@@ -84,16 +84,20 @@ def codeshare_list(c: Column) -> Column:
 def board_flights(boards: DataFrame) -> DataFrame:
     """One row per flight and board side, with its place in the reading order."""
 
-    def side(array: str, kind: str, rank: int) -> DataFrame:
-        return boards.select(
-            "queried_airport",
-            "slot_start",
-            F.lit(rank).alias("side_rank"),
-            F.lit(kind).alias("movement_type"),
-            F.posexplode(array).alias("board_position", "flight"),
+    def side(array: str, kind: str, rank: int) -> Column:
+        return F.transform(
+            F.coalesce(F.col(array), F.array().cast(boards.schema[array].dataType)),
+            lambda flight, place: F.struct(
+                F.lit(rank).alias("side_rank"), F.lit(kind).alias("movement_type"),
+                place.alias("board_position"), flight.alias("flight"),
+            ),
         )
 
-    return side("departures", "departure", 0).unionByName(side("arrivals", "arrival", 1))
+    # One explode of both arrays, so each board is read and parsed once.
+    both = F.concat(side("departures", "departure", 0), side("arrivals", "arrival", 1))
+    return boards.select("queried_airport", "slot_start", F.explode(both).alias("seen")).select(
+        "queried_airport", "slot_start", "seen.*"
+    )
 
 
 def records(flights: DataFrame) -> DataFrame:
@@ -162,7 +166,7 @@ def merge_records(df: DataFrame, order: list[str] = READING_ORDER, keys: list[st
     Every aggregate has a partial step, so a flight seen many times is reduced before the
     shuffle.
     """
-    place = F.struct(*order)
+    place = F.col("__place")
     merged = []
     for name, kind in df.dtypes:
         if name in keys or name in order:
@@ -170,7 +174,7 @@ def merge_records(df: DataFrame, order: list[str] = READING_ORDER, keys: list[st
         c = F.col(f"`{name}`")
         value = filled(c) if kind == "string" else F.when(F.size(c) > 0, c) if kind.startswith("array") else c
         merged.append(F.min_by(value, F.when(value.isNotNull(), place)).alias(name))
-    out = df.groupBy(*keys).agg(*merged)
+    out = df.withColumn("__place", F.struct(*order)).groupBy(*keys).agg(*merged)
     return out.select(*[F.col(f"`{c}`") for c in df.columns if c not in order])
 
 

@@ -17,6 +17,9 @@ SETTINGS = {
     # Hot join keys beyond the broadcast bound are split at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Generated methods beyond this size are never compiled to machine code; Spark then runs the
+    # operators one by one, which is faster for the wide projections used here.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A re-run of one date must replace that date only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
