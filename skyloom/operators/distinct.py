@@ -22,18 +22,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame
 
 
 def keep_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Only the rows whose key occurs once."""
-    others = [c for c in df.columns if c not in keys]
-    once = (
-        df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            # With one row per key this is that row; keys with more rows are dropped.
-            *[F.any_value(F.col(f"`{c}`")).alias(c) for c in others],
-        )
-        .where("__n = 1")
-    )
-    return once.select(*[F.col(f"`{c}`") for c in df.columns])
+    """Only the rows whose key occurs once.
+
+    Two rows of a key are enough to know that it is repeated, and each input partition passes
+    on no more than two (partial window group limit).
+    """
+    same_key = Window.partitionBy(*keys)
+    two = df.withColumn("__rank", F.row_number().over(same_key.orderBy(*keys))).where("__rank <= 2")
+    return two.withColumn("__n", F.count(F.lit(1)).over(same_key)).where("__n = 1").drop("__rank", "__n")
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

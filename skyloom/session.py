@@ -52,16 +52,16 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names, else (local only) our own."""
-    named = spark.conf.get(CHECKPOINT_SETTING, None)
     context = spark.sparkContext
-    if not named:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="skyloom-checkpoints-")
-        spark.conf.set(CHECKPOINT_SETTING, named)
-    if context.getCheckpointDir() is None:
+    named = spark.conf.get(CHECKPOINT_SETTING, None)
+    in_use = context.getCheckpointDir()
+    if in_use is None:
+        if not named:
+            if not context.master.startswith("local"):
+                raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="skyloom-checkpoints-")
         context.setCheckpointDir(named)
-    return named
+    return named or in_use
 
 
 def settle(df: DataFrame) -> DataFrame:
