@@ -15,6 +15,7 @@ from skyloom.operators import congestion as cong
 from skyloom.operators import signoff as sign
 from skyloom.operators import strikes as news
 from skyloom.operators import weather as wx
+from skyloom.schemas import RAW_WEATHER, conform
 
 
 def _first_event(shift: str) -> str:
@@ -40,6 +41,69 @@ def hourly_join(t: Tables) -> DataFrame:
     return arr.select("event_id", "value_dep", "user_id_dep", "value_arr", "user_id_arr")
 
 
+def _weather(t: Tables) -> DataFrame:
+    """Events as raw hourly readings of six airports, some named by city."""
+    raw = t.events.selectExpr(
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") as time",
+        "element_at(array('ORLY', 'CDG', 'NICE', 'LYON', 'MARSEILLE', 'TOULOUSE'), cast(event_id % 6 + 1 as int)) as icao",
+        "value - 30 as temperature_2m", "case when event_id % 5 > 0 then cast(user_id as double) end as relative_humidity_2m",
+        "value - 31 as dew_point_2m", "case when event_id % 7 = 0 then value end as precipitation", "value as wind_speed_10m",
+        "cast(event_id % 360 as double) as wind_direction_10m", "value * 2 as wind_speed_100m",
+        "case when event_id % 9 > 0 then cast(event_id * 7 % 360 as double) end as wind_direction_100m",
+        "cast(event_id % 100 as int) as weather_code",
+    )
+    return wx.weather_table(conform(raw, RAW_WEATHER))
+
+
+SQL_WEATHER = """
+raw as (
+  select date_trunc('second', ts) as time, ['ORY', 'CDG', 'NCE', 'LYS', 'MRS', 'TLS'][cast(event_id % 6 + 1 as int)] as icao, value - 30 as t,
+    case when event_id % 5 > 0 then cast(user_id as double) end as rh, case when event_id % 7 = 0 then value end as p, value as s1,
+    event_id % 360 as d1, value * 2 as s2, case when event_id % 9 > 0 then event_id * 7 % 360 end as d2, cast(event_id % 100 as int) as code, value - 31 as dew from events),
+weather as (
+  select time, icao, rh as relative_humidity_2m, dew as dew_point,
+    case when t <= 2 and (coalesce(rh >= 90, false) or coalesce(p > 0, false) or code in (45, 48, 56, 57, 66, 67)) then 'Oui' else 'Non' end as icing_conditions,
+    null::double as rain, case when code in (56, 57, 66, 67) then 'Oui' else 'Non' end as freezing_rain, null::double as snow,
+    case when code between 95 and 99 then 'Oui' else 'Non' end as thunderstorms, null::double as pressure_msl,
+    round_even(sqrt(pow(-s2 * sin(radians(d2)) + s1 * sin(radians(d1)), 2) + pow(-s2 * cos(radians(d2)) + s1 * cos(radians(d1)), 2)), 2) as wind_shear,
+    null::double as wind_gusts_10m, s1 as wind_speed_10m, cast(d1 as double) as wind_direction_10m, p as precipitation,
+    case when coalesce(p, 0) > 0 then 'Oui' else 'Non' end as has_precipitation, case when code in (45, 48) then 'Oui' else 'Non' end as fog,
+    rh as humidity, t as temperature_2m, null::double as cloud_cover, null::double as cloud_base, null::double as visibility from raw)"""
+
+
+@query("weather_table", f"with {SQL_WEATHER} select * from weather")
+def weather_table(t: Tables) -> DataFrame:
+    return _weather(t).withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
+@query(
+    "weather_audit",
+    f"""with {SQL_WEATHER},
+hourly as (select icao, date_trunc('hour', time) as hour, fog, temperature_2m from weather
+  qualify row_number() over (partition by icao, date_trunc('hour', time) order by time, {", ".join(f"{c} nulls last" for c in wx.WEATHER.fieldNames() if c not in ("time", "icao"))}) = 1),
+f as (select event_id, ['CDG', 'NCE', 'LYS'][cast(user_id % 3 + 1 as int)] as o, ['ORY', 'MRS', 'TLS'][cast(event_id % 3 + 1 as int)] as d, date_trunc('minute', ts) as m from events),
+cells as (
+  select 'fog_dep' as colonne, 'Non' is not distinct from fog as same from f left join hourly h on h.icao = o and h.hour = date_trunc('hour', m - interval 2 hour)
+  union all select 'temperature_2m_arr', temperature_2m is null from f left join hourly h on h.icao = d and h.hour = date_trunc('hour', m + interval 1 hour))
+select colonne, count(*) as cells, count(*) filter (where not same) as differing from cells group by 1""",
+)
+def weather_audit(t: Tables) -> DataFrame:
+    """Two weather columns overwritten after the join; the audit finds each changed cell."""
+    clock = "date_format({}, \"yyyy-MM-dd HH:mm'{}'\")"
+    flights = t.events.selectExpr(
+        "event_id", "element_at(array('CDG', 'NCE', 'LYS'), cast(user_id % 3 + 1 as int)) as airport_origin",
+        "element_at(array('ORY', 'MRS', 'TLS'), cast(event_id % 3 + 1 as int)) as airport_destination",
+        clock.format("ts", "+02:00") + " as scheduled_departure", clock.format("ts + interval 1 hour", "Z") + " as scheduled_arrival",
+    )
+    weather = _weather(t)
+    joined = wx.add_weather(flights, weather)
+    changed = joined.select(
+        *flights.columns, F.lit("Non").alias("fog_dep"), F.lit(None).cast("double").alias("temperature_2m_arr")
+    )
+    cells = wx.audit(changed, weather, ["event_id"])
+    return cells.groupBy("colonne").agg(F.count(F.lit(1)).alias("cells"), F.count_if(~F.col("same")).alias("differing"))
+
+
 # Orders carried 25 years on, into the years the school holidays are known for.
 SHIFT_MONTHS = 300
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from skyloom.checks.base import LINE_ORDER, Tables, airport_of, query, sql_airport
 from skyloom.checks.model import FEATURES, fitted
+from skyloom.operators import congestion as cong
 from skyloom.operators import features as ft
 from skyloom.operators.matching import codeshare_only, match, matches_number
 from skyloom.plans import scoring as sc
@@ -112,6 +113,30 @@ def request_check(t: Tables) -> DataFrame:
     return requests(t).select("request_id", ok.alias("valid"))
 
 
+@query(
+    "reply_table",
+    f"""
+with r as (
+  select l_orderkey as request, {_ORDER}, 'ZZ ' || l_suppkey as flight_number_principal, case when l_partkey % 4 = 0 then 'yy ' || (l_partkey % 100) else '' end as flight_number_codeshare,
+    case l_returnflag when 'A' then 'departure' when 'R' then 'arrival' else 'none' end as kind, {sql_airport('l_partkey')} as o, {sql_airport('l_orderkey')} as d,
+    strftime(l_shipdate + to_minutes(l_partkey * 7 % 1440), '%Y-%m-%d %H:%M') || '+02:00' as s from lineitem where l_linenumber <> 7),
+home as (select request, first(o order by s, o) as h from r group by 1),
+n as (select request, case kind when 'departure' then o else d end as a, count(*) filter (where kind = 'arrival') as x, count(*) filter (where kind = 'departure') as y
+  from r where kind <> 'none' group by 1, 2)
+select {_ORDER}, flight_number_principal, flight_number_codeshare, coalesce(x, 0) as total_global_arrivals_at_airport,
+  coalesce(y, 0) as total_global_departures_from_airport from r join home using (request) left join n on n.request = r.request and a = h""",
+)
+def reply_table(t: Tables) -> DataFrame:
+    kind = F.expr("case l_returnflag when 'A' then 'departure' when 'R' then 'arrival' else 'none' end")
+    records = flights(t).where("l_linenumber <> 7").withColumns(
+        {"request": F.col("l_orderkey"), "movement_type": kind, "movement_date": F.col("flight_date")}
+    )
+    return cong.reply_table(records, "request").select(
+        *ORDER, "flight_number_principal", "flight_number_codeshare",
+        "total_global_arrivals_at_airport", "total_global_departures_from_airport",
+    )
+
+
 def _scored(t: Tables, answers: DataFrame, models) -> DataFrame:
     classifier, regressor = models
     known = flights(t).selectExpr(

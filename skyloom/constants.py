@@ -46,6 +46,10 @@ FLIGHT_KEYS = ("flight_number", "flight_date", "airport_origin", "airport_destin
 PROTECTED_WORDS = ("delay", "retard", "target")
 TRANSFORM_KEEP = ("scheduled_departure", "scheduled_arrival", "movement_date", "status")
 LEAKAGE_COLUMNS = ("departure_delay_min", "arrival_delay_min", "time_dep", "time_arr")
+ESTIMATE_COLUMNS = (
+    "actual_arrival", "actual_departure", "actual_source_arrival", "actual_source_departure",
+    "departure_delay_min", "departure_advance_min", "estimated_departure", "estimated_arrival",
+)
 FEATURE_DATE_COLUMNS = ("flight_date", "scheduled_departure_dep", "scheduled_arrival_arr")
 
 # Generation stamp written in the first data row of older CSV files.

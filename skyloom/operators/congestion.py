@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyloom.constants import CONGESTION_OVER_PERCENT
+from skyloom.functions.text import joined
 from skyloom.functions.values import over, percent_deviation
 from skyloom.operators.distinct import keep_first
 from skyloom.operators.lookup import attach, sized
@@ -21,7 +22,7 @@ SCOPES: dict[str, Callable[[Column, Column], Column]] = {
 MEASURES = ["nombre_departs", "nombre_arrivees", "somme_depart_arrivee", "congestion"]
 
 
-def own_side(movements: DataFrame) -> DataFrame:
+def own_side(movements: DataFrame, *more: str) -> DataFrame:
     """Valid movements with the day and airport they count for."""
     departing = F.col("movement_type") == "departure"
     return movements.where(valid_movement()).select(
@@ -30,6 +31,7 @@ def own_side(movements: DataFrame) -> DataFrame:
         departing.alias("departing"),
         "airport_origin",
         "airport_destination",
+        *more,
     )
 
 
@@ -82,6 +84,25 @@ def daily_counts(movements: DataFrame) -> DataFrame:
     )
 
 
+def reply_table(records: DataFrame, request: str) -> DataFrame:
+    """Matched records of requests with principal and codeshare numbers as text and, for the
+    first record's airport of origin, the arrivals and departures among the request's records.
+
+    Totals are joined back from an aggregate, so a request with many records is not gathered.
+    """
+    first = records.groupBy(request).agg(F.min(F.struct("scheduled_departure", "airport_origin")).alias("f"))
+    home = first.select(request, F.col("f.airport_origin").alias("home"))
+    per_airport = own_side(records.withColumn("request", F.col(request)), "request").groupBy("request", "airport").agg(
+        F.count_if(~F.col("departing")).alias("total_global_arrivals_at_airport"),
+        F.count_if(F.col("departing")).alias("total_global_departures_from_airport"),
+    )
+    totals = attach(home, per_airport, {request: "request", "home": "airport"}).fillna(0).drop("home")
+    named = records.withColumns(
+        {"flight_number_principal": F.col("flight_number"), "flight_number_codeshare": joined(F.col("codeshares"))}
+    )
+    return attach(named, totals.withColumnRenamed(request, "__request"), {request: "__request"})
+
+
 def trim_ends(df: DataFrame, order: list[str], head: int = 3, tail: int = 1) -> DataFrame:
     """Drop the first ``head`` and last ``tail`` rows in order."""
     rows = df.count()

@@ -9,7 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from skyloom.constants import FEATURE_DATE_COLUMNS, FLIGHT_KEYS, LATE_AFTER_MINUTES, LEAKAGE_COLUMNS
+from skyloom.constants import ESTIMATE_COLUMNS, FEATURE_DATE_COLUMNS, FLIGHT_KEYS, LATE_AFTER_MINUTES, LEAKAGE_COLUMNS
 from skyloom.functions.times import wall_clock
 from skyloom.functions.values import late_label
 from skyloom.operators.distinct import keep_unique
@@ -79,10 +79,16 @@ def training_table(
     return clean.withColumn(TARGET, late_label(F.col("arrival_delay_min"), late_after)).drop("retard arrivée")
 
 
+def drop_leakage(df: DataFrame, target: str, estimates: bool = False) -> DataFrame:
+    """Drop columns that give the target away; ``estimates`` drops all times known after departure too."""
+    leak = [*LEAKAGE_COLUMNS, TARGET, *(ESTIMATE_COLUMNS if estimates else ())]
+    return df.drop(*[c for c in leak if c != target])
+
+
 def model_input(table: DataFrame, target: str = TARGET) -> DataFrame:
     """Rows with a target; leakage columns out, date parts in."""
-    leak = [c for c in (*LEAKAGE_COLUMNS, "arrival_delay_min", TARGET) if c != target]
-    return date_parts(table.where(F.col(target).isNotNull()).drop(*leak), drop=FEATURE_DATE_COLUMNS)
+    known = table.where(F.col(target).isNotNull())
+    return date_parts(drop_leakage(known, target), drop=FEATURE_DATE_COLUMNS)
 
 
 def text_columns(df: DataFrame) -> list[str]:

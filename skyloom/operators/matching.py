@@ -8,6 +8,7 @@ from skyloom.constants import MATCH_TOLERANCE_MINUTES
 from skyloom.functions.text import airport_code, day_and_hour, flight_code
 from skyloom.functions.times import clock_minutes, minute_of_day, wall_clock
 from skyloom.operators.distinct import keep_first
+from skyloom.session import stored
 
 FOUND = ["flight_number", "scheduled_departure", "airport_origin", "airport_destination"]
 QUESTION = ["number", "day", "hour", "origin", "destination"]
@@ -68,6 +69,20 @@ def _places(order: list[str]) -> list[Column]:
     return [F.col(f"place_{i}").asc_nulls_last() for i in range(len(order))]
 
 
+def prepared(flights: DataFrame, order: list[str]) -> DataFrame:
+    """Candidates stored once for many batches of requests, sorted so that a day's rows lie together."""
+    return stored(candidates(flights, order).sortWithinPartitions("day", "number"))
+
+
+def on_days_asked(offered: DataFrame, requests: DataFrame, most: int = 1000) -> DataFrame:
+    """Candidates of the days a small batch asks for; the filter reaches the scan.
+
+    A batch with more than ``most`` days reads all candidates instead.
+    """
+    days = [r["day"] for r in questions(requests).select("day").distinct().limit(most + 1).collect()]
+    return offered.where(F.col("day").isin(days)) if len(days) <= most else offered
+
+
 def match(
     requests: DataFrame, flights: DataFrame, order: list[str], tolerance: int = MATCH_TOLERANCE_MINUTES
 ) -> DataFrame:
@@ -77,8 +92,14 @@ def match(
     the nearest departure time, unless it is further than ``tolerance``. ``order`` breaks ties
     and must tell flights apart.
     """
+    return match_candidates(requests, candidates(flights, order), order, tolerance)
+
+
+def match_candidates(
+    requests: DataFrame, offered: DataFrame, order: list[str], tolerance: int = MATCH_TOLERANCE_MINUTES
+) -> DataFrame:
+    """``match`` against candidates made before."""
     asked = questions(requests)
-    offered = candidates(flights, order)
     # Equal questions are answered once.
     distinct = asked.select(*QUESTION).distinct()
     pairs = distinct.join(offered, ["number", "day"])

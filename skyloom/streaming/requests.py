@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType, TimestampType
 
-from skyloom.operators.matching import match
+from skyloom.operators.matching import match_candidates, on_days_asked, prepared
 from skyloom.schemas import REQUEST
+from skyloom.session import settle
 
 EVENT_TIME = "asked_at"
 STREAM_REQUEST = StructType([*REQUEST.fields, StructField(EVENT_TIME, TimestampType())])
@@ -45,8 +46,13 @@ def answer_stream(
     ``score`` turns the matched requests of a batch into scored ones.
     """
 
+    # The flight side is reduced and laid out once, not once per batch.
+    offered = prepared(flights, order)
+
     def write(batch: DataFrame, number: int) -> None:
-        answers = match(batch, flights, order)
+        # Read three times below; kept so that the files and the state are read once.
+        asked = settle(batch.drop(EVENT_TIME))
+        answers = match_candidates(asked, on_days_asked(offered, asked), order)
         if score is not None:
             answers = score(answers)
         answers.write.mode("overwrite").parquet(f"{output}/batch={number}")
