@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from skyloom.checks.base import (
-    LINE_ORDER, SQL_DOMESTIC, SQL_FLIGHTS, SQL_MOVEMENTS, SQL_SERVED, SQL_TARGET, SQL_TRAFFIC,
+    CODES, LINE_ORDER, SQL_DOMESTIC, SQL_FLIGHTS, SQL_MOVEMENTS, SQL_SERVED, SQL_TARGET, SQL_TRAFFIC,
     Tables, airport_of, day_text, lineitem_flights, lineitem_movements, order_traffic, query, sql_airport, sql_flagged,
 )
 from skyloom.functions.times import delay_and_advance, half_day_slot, half_day_slots
@@ -183,20 +183,19 @@ def twelve_hour_slots(t: Tables) -> DataFrame:
     return slots.join(counted, "slot_start", "left").fillna(0, "n")
 
 
-def _ratio_columns() -> str:
-    return ", ".join(LINE_ORDER)
+_ORDER = ", ".join(LINE_ORDER)
 
 
 @query(
     "record_merge",
     f"""
 with base as (
-  select l_orderkey, l_linenumber, {_ratio_columns()},
+  select l_orderkey, l_linenumber, {_ORDER},
     case when l_partkey % 3 = 0 then '' when l_partkey % 3 = 1 then null else 'P' || l_partkey end as terminal,
     case when l_suppkey % 2 = 0 then cast(l_quantity as int) end as delay,
     case when l_partkey % 5 = 0 then '' else l_linestatus end as status
   from lineitem),
-o as (select *, row_number() over (order by {_ratio_columns()}) as place from base)
+o as (select *, row_number() over (order by {_ORDER}) as place from base)
 select l_orderkey, l_linenumber,
   first(terminal order by place) filter (where terminal is not null and terminal <> '') as terminal,
   first(delay order by place) filter (where delay is not null) as delay,
@@ -269,6 +268,7 @@ def boards(t: Tables) -> DataFrame:
     landing = moment.format(m="cast(o_orderkey % 1200 + 90 as int)")
     moved = moment.format(m="cast(o_orderkey % 1200 + o_custkey % 61 - 20 as int)")
     touched = moment.format(m="cast(o_orderkey % 1200 + 90 + o_custkey % 61 - 20 as int)")
+    codes = ", ".join(f"'{c}'" for c in CODES)
     flights = t.orders.select(
         "o_orderkey",
         airport_of(F.col("o_orderkey")).alias("o"),
@@ -277,11 +277,11 @@ def boards(t: Tables) -> DataFrame:
             f"""named_struct(
   'number', concat('ZZ ', o_custkey % 500), 'status', {_STATUS},
   'airline', named_struct('name', o_orderpriority),
-  'departure', named_struct('airport', named_struct('iata', element_at(array({", ".join(repr(c) for c in _codes())}), cast(o_orderkey % 8 + 1 as int))),
+  'departure', named_struct('airport', named_struct('iata', element_at(array({codes}), cast(o_orderkey % 8 + 1 as int))),
      'scheduledTime', named_struct('local', {planned}),
      'revisedTime', case when o_orderkey % 3 > 0 then named_struct('local', {moved}) end,
      'terminal', case when o_custkey % 2 = 0 then '2F' end),
-  'arrival', named_struct('airport', named_struct('iata', element_at(array({", ".join(repr(c) for c in _codes())}), cast(o_custkey % 8 + 1 as int))),
+  'arrival', named_struct('airport', named_struct('iata', element_at(array({codes}), cast(o_custkey % 8 + 1 as int))),
      'scheduledTime', named_struct('local', {landing}),
      'actualTime', case when o_orderkey % 5 = 0 then named_struct('local', {touched}) end,
      'terminal', case when o_orderkey % 2 = 0 then '1' end))"""
@@ -305,12 +305,6 @@ def boards(t: Tables) -> DataFrame:
     return read_boards(t.spark, path)
 
 
-def _codes():
-    from skyloom.checks.base import CODES
-
-    return CODES
-
-
 def _moment(m: str) -> str:
     return f"strftime(o_orderdate + to_minutes(cast({m} as bigint)), '%Y-%m-%d %H:%M') || '+00:00'"
 

@@ -20,8 +20,8 @@ MATCHED_AS = [
 
 
 def overlay(df: DataFrame, reference: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """The reference table's columns: known ones from ``df``, the others from its first row."""
-    base = reference.limit(1).first()
+    """The columns of a one-row reference table: known ones from ``df``, the others from that row."""
+    base = reference.first()
     kinds = {f.name: f.dataType for f in reference.schema.fields}
     return df.select(
         *keep,
