@@ -288,18 +288,13 @@ def boards(t: Tables) -> DataFrame:
         ).alias("f"),
     )
     # Each reply holds one flight, on the departures side of its origin and the arrivals side of its destination.
-    sides = flights.select(
-        "o_orderkey",
-        F.explode(
-            F.array(
-                F.struct(F.col("o").alias("queried_airport"), F.array("f").alias("departures"), F.filter(F.array("f"), lambda _: F.lit(False)).alias("arrivals")),
-                F.struct(F.col("d").alias("queried_airport"), F.filter(F.array("f"), lambda _: F.lit(False)).alias("departures"), F.array("f").alias("arrivals")),
-            )
-        ).alias("b"),
-    )
-    landed = sides.select(
-        F.to_json(F.struct("b.queried_airport", F.format_string("%012d", "o_orderkey").alias("slot_start"), "b.departures", "b.arrivals")).alias("json")
+    slot = F.format_string("%012d", "o_orderkey")
+    head = [F.lit('{"queried_airport":"'), F.lit('","slot_start":"'), F.lit('","departures":[')]
+    sides = F.array(
+        F.concat(head[0], "o", head[1], slot, head[2], "json", F.lit('],"arrivals":[]}')),
+        F.concat(head[0], "d", head[1], slot, head[2], F.lit('],"arrivals":['), "json", F.lit("]}")),
     )
+    landed = flights.withColumn("json", F.to_json("f")).select(F.explode(sides).alias("value"))
     path = f"{shared_folder(t.spark)}/boards-{uuid.uuid4().hex}"
     landed.write.text(path)
     return read_boards(t.spark, path)
