@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm import mixing, simhash, url_filter
+from skyloom.llm import decontaminate, embeddings, language, mixing, quality, simhash, url_filter
+from skyloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -126,3 +127,38 @@ def url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     outcomes = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
     judged = url_filter.judge(table(spark, folder, "pages"), outcomes)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op1_decontamination")
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of which tiles cover at least half of a benchmark item."""
+    found = decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "contaminated", "item_id", "coverage", "n_items")
+
+
+@query("op4_embedding_near_duplicates")
+def embedding_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of one label linked by a cosine of 0.98 or more."""
+    return embeddings.near_duplicates(table(spark, folder, "embeddings").withColumnRenamed("embedding", "vector"))
+
+
+def held_out(parts: int, part: int):
+    """Whether a document's id falls in the part that is not learned from; false for a null id."""
+    return F.coalesce(fold(F.col("doc_id"), parts) == part, F.lit(False))
+
+
+@query("op7_quality")
+def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labels of four fifths of the ids."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    known = labels.where(fold(F.col("doc_id"), 5) != 0).select("doc_id", F.col("quality").alias("label"))
+    model = quality.train(quality.labelled_rows(docs, known))
+    return quality.score(docs, model).select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
+@query("op9_language")
+def languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three quarters of the ids."""
+    docs = table(spark, folder, "documents")
+    model = language.train(docs.where(fold(F.col("doc_id"), 4) != 2))
+    return language.identify(docs, model).select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
