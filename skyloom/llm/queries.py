@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm import decontaminate, embeddings, language, mixing, quality, simhash, url_filter
+from skyloom.llm import decontaminate, embeddings, language, mixing, quality, simhash, suffix_array, url_filter
 from skyloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,10 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language.train(docs.where(fold(F.col("doc_id"), 4) != 2))
     return language.identify(docs, model).select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_repeated_strings")
+def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document covered by a string of 200 bytes that also starts elsewhere."""
+    found = suffix_array.deduplicate(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
