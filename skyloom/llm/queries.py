@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm import decontaminate, embeddings, language, mixing, quality, simhash, suffix_array, url_filter
+from skyloom.llm import decontaminate, embeddings, language, mixing, quality, simhash, suffix_array, token_counts, url_filter, warc
 from skyloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,34 @@ def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes of every document covered by a string of 200 bytes that also starts elsewhere."""
     found = suffix_array.deduplicate(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def sample_edits():
+    """Three edits that each document's id and text give: up to 40 characters are replaced by up to 40 from elsewhere in it."""
+    length = F.length("text")
+
+    def one(turn: int):
+        draw = lambda k, most: F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit(turn), F.lit(k)), most).cast("int")
+        taken = F.substring(F.col("text"), draw(1, length + 1) + 1, draw(2, F.lit(41)))
+        return F.struct(draw(3, length + 1).alias("start"), draw(4, F.lit(41)).alias("length"), taken.alias("insert"))
+
+    return F.array(*[one(turn) for turn in range(3)])
+
+
+@query("op6_token_counts")
+def edited_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of every document before and after three edits."""
+    ranks = token_counts.ranks_of()
+    trees = token_counts.build(table(spark, folder, "documents"), ranks).withColumn("edits", sample_edits())
+    found = token_counts.apply_edits(trees, ranks)
+    return found.select("doc_id", "tokens_before", F.col("n_tokens").alias("tokens_after"), F.size("tree.tokens").alias("pieces_after"), "encoded")
+
+
+@query("op8_warc_derivatives")
+def warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata and conversion records of the response to every page."""
+    found = warc.derive(warc.responses_of(table(spark, folder, "pages")))
+    return found.select(
+        "record_id", "record_type", "refers_to", "target_uri", "date", "content_type", F.length("content").cast("long").alias("content_length"),
+        F.col("headers")["WARC-Block-Digest"].alias("block_digest"), F.col("headers")["WARC-Source-Payload-Digest"].alias("payload_digest"), F.col("content").cast("string").alias("content"),
+    )
