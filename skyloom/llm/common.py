@@ -58,3 +58,24 @@ def fold(key: Column, parts: int) -> Column:
 def tasks_for(spark: SparkSession, rows: int, rows_per_task: int) -> int:
     """Partitions that hold about ``rows_per_task`` rows each, at least one per core."""
     return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_task))
+
+
+def text_key(text: Column) -> Column:
+    """SHA-256 of a text's UTF-8 bytes, which stands for the text; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
+class Aside:
+    """A table with all columns but some renamed, so that an operator's own columns clash with none; ``back`` names them again."""
+
+    def __init__(self, df: DataFrame, used: tuple[str, ...] = ("doc_id", "text")):
+        self.original = df.columns
+        seen: set[str] = set()
+        self.names = [n if n in used and not (n in seen or seen.add(n)) else f"carried_{i}" for i, n in enumerate(df.columns)]
+        self.df = df.toDF(*self.names)
+
+    def back(self, df: DataFrame, *more: str) -> DataFrame:
+        return df.select(*self.names, *more).toDF(*self.original, *more)
+
+    def schema(self) -> str:
+        return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.df.schema.fields)

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from skyloom.llm.common import Store
+from skyloom.llm.common import Store, text_key
 
 WORD = re.compile(r"\w+")
 MIN_MATCH = 5
@@ -133,10 +133,6 @@ class Index:
                 yield item_id, coverage, [{"item_start": i, "doc_start": int(where[j]), "words": n} for n, i, j in found]
 
 
-def text_key(text) -> F.Column:
-    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
-
-
 def matches(docs: DataFrame, benchmark: DataFrame, store: Store, threshold: float = 0.5, least: int = MIN_MATCH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(text_key, item_id, coverage, tiles) for each text and benchmark item with enough of the item in the text.
 

@@ -122,8 +122,8 @@ class Model:
         return list(zip(chosen, certain))
 
 
-def identify(docs: DataFrame, model: Model, rounds: int = 8, penalty: float = 4.0) -> DataFrame:
-    """One row per document: doc_id, lang_pred, score, languages (those selected, with their proportions).
+def identify(docs: DataFrame, model: Model, rounds: int = 8, penalty: float = 4.0, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per document: ``columns``, lang_pred, score, languages (those selected, with their proportions).
 
     lang_pred is the language with the largest proportion, the first by name among equals. score is its proportion
     times the certainty that it, rather than another single language, made the text; 0 to 1. A text that is null or has no
@@ -131,7 +131,8 @@ def identify(docs: DataFrame, model: Model, rounds: int = 8, penalty: float = 4.
     stay as they are; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    held = docs.select(*columns, "text" if "text" not in columns else F.lit(0).alias("unused"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in held.schema.fields[: len(columns)])
 
     def run(batches):
         model = shared.value
@@ -161,8 +162,8 @@ def identify(docs: DataFrame, model: Model, rounds: int = 8, penalty: float = 4.
                 settle()
             lang, score, shares = zip(*result) if result else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array([list(s.items()) for s in shares], pa.map_(pa.string(), pa.float64()))],
-                ["doc_id", "lang_pred", "score", "languages"],
+                [*(batch.column(c) for c in columns), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array([list(s.items()) for s in shares], pa.map_(pa.string(), pa.float64()))],
+                [*columns, "lang_pred", "score", "languages"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, languages map<string,double>")
+    return held.mapInArrow(run, f"{kinds}, lang_pred string, score double, languages map<string,double>")

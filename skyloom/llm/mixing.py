@@ -53,8 +53,8 @@ def water_fill(sources: DataFrame, store: Store, total: int, share: float, max_e
     return sources.withColumn("target", F.when(clamped, cap).otherwise(F.col("weight") * F.lit(level)).cast("double"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, max_epochs: float = 2, seed: int = 7) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, whole, part_words, taken.
+def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, max_epochs: float = 2, seed: int = 7, columns: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, source, ``columns``, size, source_size, target, whole, part_words, taken.
 
     Sizes are words of the whole text. Sources, ordered by code point with null last, take ``weights`` in turn and
     share ``share`` times the words of all documents, none beyond ``max_epochs`` times its own words
@@ -74,12 +74,16 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     """
     store = Store(docs.sparkSession)
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
-    slim = store.keep(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("place_key")))
+    sized = docs.select("doc_id", "source", *columns, word_count(F.col("text")).alias("size"), order.alias("place_key"))
+    slim = store.keep(sized.select("doc_id", "source", "size", "place_key"))
     row = slim.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s")).first()
     total, digits = row["s"] or 0, max(1, math.ceil(math.log(max(row["n"], 1) / RANGE_ROWS, 16))) if row["n"] > RANGE_ROWS else 1
-    slim = slim.withColumn("range", F.substring("place_key", 1, digits))
-    # One join key for each source, null included.
-    slim = slim.withColumn("source_key", F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")))
+    keys = {
+        "range": F.substring("place_key", 1, digits),
+        # One join key for each source, null included.
+        "source_key": F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")),
+    }
+    slim = slim.withColumns(keys)
     ranges = store.keep(slim.groupBy("source_key", "source", "range").agg(F.sum("size").alias("range_size")))
     sources = _ranked(ranges.groupBy("source_key", "source").agg(F.sum("range_size").alias("source_size")))
     cycle = F.array(*[F.lit(float(w)) for w in weights])
@@ -92,8 +96,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     before = F.sum("range_size").over(Window.partitionBy("source_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
     starts = ranges.select("source_key", "range", F.coalesce(before, F.lit(0)).alias("before")).join(filled, "source_key")
     inside = Window.partitionBy("source_key", "range").orderBy("place_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = slim.withColumn("upto", F.sum("size").over(inside)).join(starts, ["source_key", "range"])
+    rows = sized.withColumns(keys) if columns else slim
+    ordered = rows.withColumn("upto", F.sum("size").over(inside)).join(starts, ["source_key", "range"])
     part = F.greatest(F.lit(0), F.least("size", F.col("rest") - (F.col("before") + F.col("upto") - F.col("size"))))
     return ordered.withColumn("part_words", part.cast("long")).select(
-        "doc_id", "source", "size", "source_size", "target", "whole", "part_words", (F.col("whole") * F.col("size") + F.col("part_words")).alias("taken"),
+        "doc_id", "source", *columns, "size", "source_size", "target", "whole", "part_words", (F.col("whole") * F.col("size") + F.col("part_words")).alias("taken"),
     )

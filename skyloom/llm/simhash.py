@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skyloom.llm.common import Store
+from skyloom.llm.common import Aside, Store, text_key
 from skyloom.llm.components import components
 
 BITS = 64
@@ -47,16 +47,16 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(ones * 2 > len(hashes)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every document; the fingerprint of a text without words, or of null, is zero."""
+def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id") -> DataFrame:
+    """(key, fp) of every document; the fingerprint of a text without words, or of null, is zero."""
 
     def run(batches):
         for batch in batches:
             found = [fingerprint(shingle_hashes(text.as_py(), shingle)) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(found, pa.int64())], [key, "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, "text").mapInArrow(run, f"{key} {kind}, fp long")
 
 
 def covering_masks(radius: int, seed: int = SEED) -> list[int]:
@@ -109,6 +109,21 @@ def links(prints: DataFrame, store: Store, radius: int = 2) -> DataFrame:
     return met.join(centre, ["table", "value"]).where("fp <> centre").select(F.col("centre").alias("a"), F.col("fp").alias("b")).distinct()
 
 
+def representatives(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of ``docs``, one of each group of near-duplicates: that with the least doc_id, null last, then the least text key.
+
+    Groups are those of ``near_duplicates``; of equal rows one stays. All columns are kept, whatever their names.
+    """
+    store, aside = Store(docs.sparkSession), Aside(docs)
+    keyed = aside.df.withColumn("text_key", text_key(F.col("text")))
+    prints = store.keep(fingerprints(keyed, shingle, "text_key").distinct())
+    roots = components(links(prints.select("fp").distinct(), store, radius), store).toDF("fp", "root")
+    by_text = store.keep(prints.join(roots, "fp", "left").select("text_key", F.coalesce("root", "fp").alias("root")))
+    joined = keyed.join(by_text, "text_key")
+    first = F.min_by(F.struct(*aside.names), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
+    return aside.back(joined.groupBy("root").agg(first.alias("row")).select("row.*"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """One row per document: doc_id, fp (signed), fingerprint (16 hex digits), component_id.
 
