@@ -4,6 +4,6 @@ The tables stand in for flights, weather and news: SURVEY section 7.3 names the
 """
 
 from skyloom.checks.base import QUERIES, SQL
-from skyloom.checks import cleaning, context, formats, model, requests, scalars, traffic  # noqa: F401
+from skyloom.checks import cleaning, context, formats, model, remaining, requests, scalars, traffic  # noqa: F401
 
 __all__ = ["QUERIES", "SQL"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from skyloom.checks.base import LINE_ORDER, Tables, query
+from skyloom.checks.base import LINE_ORDER, SQL, Tables, query
 from skyloom.constants import PLACEHOLDERS
 from skyloom.operators import distinct as dis
 from skyloom.operators import profile as prof
@@ -108,6 +108,44 @@ def repair_left(t: Tables) -> DataFrame:
     return rep.repair_left(_two_sided(t), ["flight_number"])
 
 
+@query("repair_pairs_sliced", SQL["repair_pairs"])
+def repair_pairs_sliced(t: Tables) -> DataFrame:
+    return rep.repair_pairs(_two_sided(t), ["flight_number"], rows_per_slice=t.lineitem.count() // 23 + 1)
+
+
+# Times of different offsets within one flight, as when the clock changes: text order is not time order.
+_INSTANT_REST = "scheduled_departure, scheduled_arrival, l_partkey, l_suppkey, l_linenumber, l_extendedprice"
+
+
+@query(
+    "repair_instants",
+    f"""with src as (
+  select 'ZZ ' || l_orderkey as flight_number, case when l_returnflag = 'A' then 'departure' else 'arrival' end as movement_type,
+    timestamp '2025-10-26 00:00:00' + to_minutes(l_partkey % 240) as at_dep, timestamp '2025-10-26 00:00:00' + to_minutes(l_partkey % 90 + l_suppkey % 90) as at_arr,
+    l_suppkey % 2 as summer, l_partkey, l_suppkey, l_linenumber, l_extendedprice from lineitem),
+texts as (
+  select *, strftime(at_dep + to_hours(1 + summer), '%Y-%m-%d %H:%M') || case summer when 1 then '+02:00' else '+01:00' end as scheduled_departure,
+    strftime(at_arr + to_hours(1 + summer), '%Y-%m-%d %H:%M') || case summer when 1 then '+02:00' else '+01:00' end as scheduled_arrival,
+    count(*) over (partition by flight_number) as copies from src),
+dep as (select *, row_number() over (partition by flight_number order by at_dep, {_INSTANT_REST}) as n from texts where copies > 1 and movement_type = 'departure'),
+arr as (select *, row_number() over (partition by flight_number order by at_arr, scheduled_arrival, {_INSTANT_REST}) as n from texts where copies > 1 and movement_type = 'arrival')
+select flight_number, dep.l_partkey as l_partkey_dep, dep.l_suppkey as l_suppkey_dep, arr.l_partkey as l_partkey_arr, arr.l_suppkey as l_suppkey_arr
+from dep join arr using (flight_number, n)""",
+)
+def repair_instants(t: Tables) -> DataFrame:
+    def text(minutes: str) -> str:
+        local = f"timestamp_ntz'2025-10-26 00:00:00' + make_dt_interval(0, 1 + cast(l_suppkey % 2 as int), cast({minutes} as int), 0)"
+        return f"concat(date_format({local}, 'yyyy-MM-dd HH:mm'), case l_suppkey % 2 when 1 then '+02:00' else '+01:00' end)"
+
+    sides = t.lineitem.selectExpr(
+        "concat('ZZ ', l_orderkey) as flight_number", "case when l_returnflag = 'A' then 'departure' else 'arrival' end as movement_type",
+        f"{text('l_partkey % 240')} as scheduled_departure", f"{text('l_partkey % 90 + l_suppkey % 90')} as scheduled_arrival",
+        "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
+    )
+    pairs = rep.repair_pairs(sides, ["flight_number"]).where("n_vol is not null")
+    return pairs.select("flight_number", "l_partkey_dep", "l_suppkey_dep", "l_partkey_arr", "l_suppkey_arr")
+
+
 def _holey(t: Tables) -> DataFrame:
     """Events with missing values, empty text, placeholder words and infinite numbers."""
     return t.events.selectExpr(
@@ -170,12 +208,21 @@ def _sql_fill(c: str) -> str:
     )
 
 
+FILLED = ("value_dep", "kind_arr", "user_delay", "level_dep")
+
+
 @query(
     "fill_both_ways",
-    f"with {SQL_HOLEY} select event_id, ts, {', '.join(_sql_fill(c) for c in ('value_dep', 'kind_arr', 'user_delay'))} from holey",
+    f"with {SQL_HOLEY} select event_id, ts, {', '.join(_sql_fill(c) for c in FILLED)} from holey",
 )
 def fill(t: Tables) -> DataFrame:
-    return fill_both_ways(_holey(t).select("event_id", "ts", "value_dep", "kind_arr", "user_delay"), ["ts", "event_id"])
+    return fill_both_ways(_holey(t).select("event_id", "ts", *FILLED), ["ts", "event_id"])
+
+
+@query("fill_sliced", SQL["fill_both_ways"])
+def fill_sliced(t: Tables) -> DataFrame:
+    """The same fill cut into many slices, as for a large table."""
+    return fill_both_ways(_holey(t).select("event_id", "ts", *FILLED), ["ts", "event_id"], rows_per_slice=t.events.count() // 23 + 1)
 
 
 # value_dep is missing in six of seven rows and goes; user_delay is protected by its name.
@@ -184,8 +231,7 @@ def fill(t: Tables) -> DataFrame:
     f"with {SQL_HOLEY} select {', '.join(_sql_fill(c) for c in ('kind_arr', 'user_delay', 'flight_number'))}, round(lvl, 6) as level_dep from (select *, {_sql_fill('level_dep').replace(' as level_dep', ' as lvl')} from holey)",
 )
 def purge_columns(t: Tables) -> DataFrame:
-    plain = _holey(t).withColumn("level_dep", F.when(~F.isnan("level_dep"), F.col("level_dep")))
-    kept = prof.purge(plain, ["ts", "event_id"])
+    kept = prof.purge(_holey(t), ["ts", "event_id"])
     return kept.withColumn("level_dep", F.round("level_dep", 6))
 
 
@@ -197,6 +243,11 @@ def row_positions(t: Tables) -> DataFrame:
     return positions(t.lineitem, [*LINE_ORDER, *KEYS], "place")
 
 
+@query("row_positions_sliced", SQL["row_positions"])
+def row_positions_sliced(t: Tables) -> DataFrame:
+    return positions(t.lineitem, [*LINE_ORDER, *KEYS], "place", rows_per_slice=t.lineitem.count() // 23 + 1)
+
+
 @query(
     "training_table",
     """
@@ -218,7 +269,7 @@ def training(t: Tables) -> DataFrame:
     flights = t.lineitem.selectExpr(
         "concat('N', l_suppkey) as flight_number", "date_format(l_shipdate, 'yyyy-MM-dd') as flight_date",
         "concat('P', l_partkey % 40) as airport_origin", "concat('Q', l_orderkey % 50) as airport_destination",
-        "case when l_partkey % 4 > 0 then l_quantity end as wind_dep", "case when l_linenumber = 1 then l_tax end as rare_arr",
+        "case when l_partkey % 4 > 0 then l_quantity when l_partkey % 8 = 0 then double('nan') end as wind_dep", "case when l_linenumber = 1 then l_tax end as rare_arr",
         "case when l_partkey % 3 > 0 then cast(l_quantity as int) - 5 end as arrival_delay_min", "l_linestatus as airline",
     )
     return training_table(flights)

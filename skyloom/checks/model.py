@@ -7,7 +7,7 @@ import uuid
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from skyloom.checks.base import Tables, query
+from skyloom.checks.base import SQL, Tables, query
 from skyloom.operators import features as ft
 from skyloom.operators import metrics as mt
 from skyloom.operators import ranking as rk
@@ -67,6 +67,12 @@ def medians(t: Tables) -> DataFrame:
     return ft.medians(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"])
 
 
+@query("medians_bracketed", SQL["medians"])
+def medians_bracketed(t: Tables) -> DataFrame:
+    """The same medians narrowed in brackets, as for a large table."""
+    return ft.medians(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"], exact_rows=100)
+
+
 @query(
     "one_hot",
     """
@@ -93,6 +99,35 @@ def split(t: Tables) -> DataFrame:
     )
 
 
+_SQL_STATUS = "case when o_orderkey % 10 > 0 then o_orderstatus end"
+
+
+def _with_missing_status(t: Tables) -> DataFrame:
+    return t.orders.selectExpr("o_orderkey", f"{_SQL_STATUS} as status")
+
+
+@query(
+    "split_missing_stratum",
+    f"""select o_orderkey, case when row_number() over (partition by {_SQL_STATUS} order by {_sql_hash('o_orderkey')})
+  <= ceil(0.2 * count(*) over (partition by {_SQL_STATUS})) then 'test' else 'train' end as part from orders""",
+)
+def split_missing_stratum(t: Tables) -> DataFrame:
+    """Rows without a stratum are a stratum; the cuts are narrowed in several rounds, as for a large table."""
+    train, test = ft.split(_with_missing_status(t), ["o_orderkey"], by="status", exact_cell=1)
+    return train.select("o_orderkey", F.lit("train").alias("part")).unionByName(test.select("o_orderkey", F.lit("test").alias("part")))
+
+
+@query(
+    "folds_missing_stratum",
+    f"""
+with r as (select o_orderkey, row_number() over (partition by {_SQL_STATUS} order by {_sql_hash('o_orderkey')}) as r,
+  count(*) over (partition by {_SQL_STATUS}) as n from orders)
+select o_orderkey, cast((r > ceil(0.2 * n)) as int) + cast((r > ceil(0.4 * n)) as int) + cast((r > ceil(0.6 * n)) as int) + cast((r > ceil(0.8 * n)) as int) as fold from r""",
+)
+def folds_missing_stratum(t: Tables) -> DataFrame:
+    return ft.folds(_with_missing_status(t), ["o_orderkey"], by="status").drop("status")
+
+
 @query(
     "folds",
     f"""
@@ -299,15 +334,45 @@ def fitted(t: Tables, learner, by: str | None):
     return tr.assembled(learner, encoding.features).fit(train), encoding, train, test
 
 
+def _ruled_rows(t: Tables) -> DataFrame:
+    """Line items with a label that two cuts tell exactly."""
+    return t.lineitem.selectExpr(
+        "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey) as row_id", "l_returnflag as flag", "l_linestatus as status",
+        "l_discount", "l_tax", "l_linenumber", f"cast(l_returnflag = 'A' and l_linenumber <= 3 as int) as {ft.TARGET}",
+    )
+
+
+_SQL_RULE = "cast(l_returnflag = 'A' and l_linenumber <= 3 as int)"
+
+
+def _rule_confusion(t: Tables, learner) -> DataFrame:
+    rows = tr.balanced(_ruled_rows(t))
+    encoding = tr.fit_encoding(rows, [*_IGNORED, "weight"])
+    coded = encoding.apply(rows)
+    return mt.confusion(tr.assembled(learner, encoding.features).fit(coded).transform(coded), ft.TARGET, "prediction")
+
+
+@query("boosted_rule", f"select {_SQL_RULE} as {ft.TARGET}, {_SQL_RULE} as prediction, count(*) as n from lineitem group by 1, 2")
+def boosted_rule(t: Tables) -> DataFrame:
+    """The boosted classifier with its defaults finds a rule that a tree can tell exactly."""
+    return _rule_confusion(t, tr.boosted_classifier())
+
+
+@query("forest_rule", f"select {_SQL_RULE} as {ft.TARGET}, {_SQL_RULE} as prediction, count(*) as n from lineitem group by 1, 2")
+def forest_rule(t: Tables) -> DataFrame:
+    """So does the forest with all its trees."""
+    return _rule_confusion(t, tr.forest_classifier())
+
+
 @query("fit_classifier")
 def fit_classifier(t: Tables) -> DataFrame:
-    model, _, train, test = fitted(t, tr.boosted_classifier(maxIter=8, maxDepth=4), ft.TARGET)
+    model, _, train, test = fitted(t, tr.boosted_classifier(), ft.TARGET)
     return mt.gaps(tr.quality(tr.scored(model, train, ft.TARGET)), tr.quality(tr.scored(model, test, ft.TARGET)))
 
 
 @query("fit_regressor")
 def fit_regressor(t: Tables) -> DataFrame:
-    model, _, _, test = fitted(t, tr.boosted_regressor(maxIter=8, maxDepth=4), None)
+    model, _, _, test = fitted(t, tr.boosted_regressor(), None)
     return mt.regression_metrics(model.transform(test), "arrival_delay_min", "prediction")
 
 
@@ -316,13 +381,13 @@ def fit_forest_classifier(t: Tables) -> DataFrame:
     rows = tr.balanced(model_rows(t))
     train, test = ft.split(rows, ["row_id"], by=ft.TARGET)
     encoding = tr.fit_encoding(train, [*_IGNORED, "weight"])
-    model = tr.assembled(tr.forest_classifier(numTrees=10, maxDepth=5), encoding.features).fit(encoding.apply(train))
+    model = tr.assembled(tr.forest_classifier(), encoding.features).fit(encoding.apply(train))
     return tr.quality(tr.scored(model, encoding.apply(test), ft.TARGET))
 
 
 @query("fit_forest_regressor")
 def fit_forest_regressor(t: Tables) -> DataFrame:
-    model, _, _, test = fitted(t, tr.forest_regressor(numTrees=10, maxDepth=5), None)
+    model, _, _, test = fitted(t, tr.forest_regressor(), None)
     return mt.regression_metrics(model.transform(test), "arrival_delay_min", "prediction")
 
 
@@ -338,18 +403,22 @@ def search(t: Tables) -> DataFrame:
 
 @query("model_importance")
 def model_importance(t: Tables) -> DataFrame:
-    model, encoding, train, _ = fitted(t, tr.boosted_classifier(maxIter=4, maxDepth=4), ft.TARGET)
+    model, encoding, train, _ = fitted(t, tr.boosted_classifier(), ft.TARGET)
     corr = rk.correlations(train, encoding.features, ft.TARGET)
     importance = tr.importances(model, encoding.features).withColumnRenamed("encoded_feature", "raw_feature")
     return rk.top(rk.combined(corr, importance), 20)
 
 
-@query("saved_model")
+@query("saved_model", "select count(*) as n_rows, count(*) as n_equal from lineitem")
 def saved_model(t: Tables) -> DataFrame:
-    """Predictions of a model and its encoding after storing and loading both."""
-    model, encoding, _, _ = fitted(t, tr.boosted_regressor(maxIter=3, maxDepth=3), None)
+    """Rows, and rows whose prediction is the same after storing and loading a model and its encoding."""
+    model, encoding, _, _ = fitted(t, tr.boosted_regressor(), None)
     folder = f"{shared_folder(t.spark)}/saved-{uuid.uuid4().hex}"
     tr.save_encoding(encoding, f"{folder}/encoding")
     model.write().overwrite().save(f"{folder}/model")
     loaded, again = tr.PipelineModel.load(f"{folder}/model"), tr.load_encoding(t.spark, f"{folder}/encoding")
-    return loaded.transform(again.apply(model_rows(t))).select("row_id", "prediction")
+    before = F.struct(F.col("prediction").alias("before"))
+    rows = model.transform(encoding.apply(model_rows(t).withColumn("key", F.struct(*FEATURES))))
+    rows = rows.select("row_id", "key.*", before["before"].alias("before"))
+    after = loaded.transform(again.apply(rows))
+    return after.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("before") == F.col("prediction")).alias("n_equal"))

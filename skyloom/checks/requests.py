@@ -145,26 +145,33 @@ def _scored(t: Tables, answers: DataFrame, models) -> DataFrame:
     )
     found = sc.answered_rows(answers, known, ORDER)
     rows = found.withColumnsRenamed({"status": "outcome", "status_code": "status"})
-    rows = rows.select("request_id", "outcome", *[c for c in rows.columns if c in FEATURES])
-    return sc.predictions(rows, ["request_id", "outcome"], classifier[0], classifier[1], regressor[0], regressor[1])
+    rows = rows.withColumn("matched", F.col("matched_flight_number").isNotNull())
+    rows = rows.select("request_id", "outcome", "matched", *[c for c in rows.columns if c in FEATURES])
+    return sc.predictions(rows, ["request_id", "outcome"], classifier[0], classifier[1], regressor[0], regressor[1], "matched")
 
 
 @query("score_requests")
 def score_requests(t: Tables) -> DataFrame:
-    """Every order's request matched, its flight scored by both models; unmatched ones too, on medians."""
-    classifier = fitted(t, tr.boosted_classifier(maxIter=3, maxDepth=3), ft.TARGET)[:2]
-    regressor = fitted(t, tr.boosted_regressor(maxIter=3, maxDepth=3), None)[:2]
+    """Every order's request matched, its flight scored by both models; unmatched ones have no score."""
+    classifier = fitted(t, tr.boosted_classifier(), ft.TARGET)[:2]
+    regressor = fitted(t, tr.boosted_regressor(), None)[:2]
     return _scored(t, match(requests(t), flights(t), ORDER), (classifier, regressor))
 
 
-@query("request_stream", f"with {SQL_MATCH} select * from matched")
+@query("request_stream", f"with {SQL_MATCH} select *, error_code is null as answered from matched")
 def request_stream(t: Tables) -> DataFrame:
-    """The requests landed as JSON files and answered as a stream; same answers as the batch."""
+    """The requests landed as JSON files and answered as a stream; same answers as the batch.
+
+    They carry different times, a tenth of them comes twice, and each batch is scored by a rule.
+    """
     folder = f"{shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"
-    landed = requests(t).withColumn(rs.EVENT_TIME, F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    asked = requests(t)
+    at = F.timestamp_seconds(F.lit(1767225600) + F.col("request_id").cast("long") % 3000)
+    landed = asked.unionByName(asked.where(F.col("request_id").cast("long") % 10 == 0)).withColumn(rs.EVENT_TIME, at)
     landed.repartition(4, "request_id").write.json(f"{folder}/in")
     job = rs.answer_stream(
-        rs.read_requests(t.spark, f"{folder}/in"), flights(t), ORDER, f"{folder}/out", f"{folder}/state"
+        rs.read_requests(t.spark, f"{folder}/in"), flights(t), ORDER, f"{folder}/out", f"{folder}/state",
+        score=lambda answers: answers.withColumn("answered", F.col("error_code").isNull()),
     )
     job.awaitTermination()
     return rs.read_answers(t.spark, f"{folder}/out")

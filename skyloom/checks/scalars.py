@@ -14,12 +14,12 @@ SQL_BLANKS = r"[\s\p{Z}\x1c-\x1f\x{85}]+"
 
 
 def sql_plain(c: str, entities: bool = True) -> str:
-    """SQL twin of ``plain_text``; numeric references do not occur in the tables."""
+    """SQL twin of ``plain_text`` for the references that occur in the tables; ``html_references`` has the others."""
     out = f"coalesce({c}, '')"
     if entities:
-        for name, letter in text.NAMED_ENTITIES.items():
+        for name, letter in {"&copy;": "©", "&middot;": "·", "&quot;": '"'}.items():
             out = f"replace({out}, {quote(name)}, {quote(letter)})"
-        out = f"replace({out}, '&amp;', '&')"
+        out = f"regexp_replace({out}, '&amp;?', '&', 'g')"
     out = f"translate(lower({out}), '{FOLD_FROM}', '{FOLD_TO}')"
     return f"trim(regexp_replace(replace({out}, 'œ', 'oe'), '{SQL_BLANKS}', ' ', 'g'))"
 

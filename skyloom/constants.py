@@ -28,6 +28,8 @@ FINAL_STATUSES = ("arrived", "departed", "landed")
 # Thresholds.
 LATE_AFTER_MINUTES = 15
 CONGESTION_OVER_PERCENT = 20.0
+# The batch build of the history table flags congestion earlier.
+CONGESTION_OVER_PERCENT_BATCH = 10.0
 MATCH_TOLERANCE_MINUTES = 30
 RISK_MEDIUM_FROM = 30
 RISK_HIGH_FROM = 60

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -12,29 +15,29 @@ FLIGHT_NUMBER_PATTERN = r"^[A-Z0-9]{1,3}\s?[0-9]{1,4}$"
 HOUR_PATTERN = r"(\d{2}:\d{2}(?::\d{2})?)"
 BLANKS = r"[\s\p{Z}\x1c-\x1f\x85]+"
 
-# Named entities met in French news feeds (the ampersand is decoded last).
-NAMED_ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
-    "&eacute;": "é", "&egrave;": "è", "&ecirc;": "ê", "&euml;": "ë",
-    "&agrave;": "à", "&acirc;": "â", "&auml;": "ä", "&icirc;": "î", "&iuml;": "ï",
-    "&ocirc;": "ô", "&ouml;": "ö", "&ugrave;": "ù", "&ucirc;": "û", "&uuml;": "ü",
-    "&ccedil;": "ç", "&oelig;": "œ", "&Eacute;": "É", "&Egrave;": "È", "&Agrave;": "À",
-    "&Ccedil;": "Ç", "&laquo;": "«", "&raquo;": "»", "&hellip;": "…", "&rsquo;": "’",
-    "&lsquo;": "‘", "&ldquo;": "“", "&rdquo;": "”", "&ndash;": "–", "&mdash;": "—",
-}
+# The standard table of named character references, from Python's own library.
+NAMED = json.dumps(html5)
+# Numbers that stand for another character by the HTML standard: those of Windows-1252, and two more.
+RENUMBERED = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)} | {0: "\ufffd", 0x0D: "\r"}
+REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <#;]{1,32};?)"
+
+
+def stripped(c: Column) -> Column:
+    """Without blanks of any kind at the ends: tabs, line ends and no-break spaces too."""
+    return F.regexp_replace(c, rf"^{BLANKS}|{BLANKS}\z", "")
 
 
 def flight_code(c: Column) -> Column:
     """Flight number without blanks, in capitals; empty text when missing."""
-    return F.coalesce(F.upper(F.trim(F.replace(c, F.lit(" "), F.lit("")))), F.lit(""))
+    return F.coalesce(F.upper(stripped(F.replace(c, F.lit(" "), F.lit("")))), F.lit(""))
 
 
 def upper_key(c: Column) -> Column:
-    return F.upper(F.trim(c))
+    return F.upper(stripped(c))
 
 
 def status_key(c: Column) -> Column:
-    return F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    return F.lower(stripped(F.coalesce(c, F.lit(""))))
 
 
 def airport_code(c: Column) -> Column:
@@ -89,32 +92,48 @@ def valid_request(number: Column, origin: Column, destination: Column) -> Column
 
 
 def unescape(c: Column) -> Column:
-    """Decode HTML character references: numeric ones and those listed above."""
-    text = _numeric_references(c)
-    for name, letter in NAMED_ENTITIES.items():
-        text = F.replace(text, F.lit(name), F.lit(letter))
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    """Decode HTML character references once, named and numeric, as the HTML standard says.
 
+    Names are those of the standard table, with or without a semicolon where it allows that; what follows such a name
+    stays. Unknown names stay. Numbers beyond Unicode and surrogates give U+FFFD, those of non-characters nothing.
+    """
+    parts = F.split(c, "&", -1)
+    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(rest, _decoded), ""))
+
+
+def _decoded(part: Column) -> Column:
+    """Text that followed an ampersand, with the reference it begins with decoded."""
+    ref = F.regexp_extract(part, REFERENCE, 1)
+    after = F.substr(part, F.length(ref) + 1)
+    digits = F.regexp_extract(ref, "^#([0-9]+)", 1)
+    hex_digits = F.regexp_extract(ref, "^#[xX]([0-9a-fA-F]+)", 1)
+    return (
+        F.when(ref == "", F.concat(F.lit("&"), part))
+        .when(digits != "", F.concat(_character(digits, 10), after))
+        .when(hex_digits != "", F.concat(_character(hex_digits, 16), after))
+        .otherwise(F.concat(_named(ref), after))
+    )
 
-def _numeric_references(c: Column) -> Column:
-    found = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(&#[0-9]{1,5};)"), F.lit(1)))
-    found_hex = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(&#[xX][0-9a-fA-F]{1,4};)"), F.lit(1)))
 
-    def letter(hex_digits: Column) -> Column:
-        return F.decode(F.unhex(F.lpad(hex_digits, 4, "0")), "UTF-16BE")
+def _named(ref: Column) -> Column:
+    """The longest beginning of a name that the table holds, decoded, with what is left of the name."""
+    names = F.from_json(F.lit(NAMED), "map<string,string>")
+    lengths = F.when(F.length(ref) > 2, F.sequence(F.length(ref) - 1, F.lit(2), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    shorter = F.get(F.filter(lengths, lambda n: F.map_contains_key(names, F.substr(ref, F.lit(1), n))), F.lit(0))
+    prefix = F.try_element_at(names, F.substr(ref, F.lit(1), shorter))
+    return F.coalesce(F.try_element_at(names, ref), F.concat(prefix, F.substr(ref, shorter + 1)), F.concat(F.lit("&"), ref))
 
-    decimal = F.aggregate(
-        found, c,
-        lambda text, ref: F.replace(
-            text, ref, letter(F.hex(F.regexp_extract(ref, r"([0-9]+)", 1).cast("long")))
-        ),
-    )
-    return F.aggregate(
-        found_hex, decimal,
-        lambda text, ref: F.replace(
-            text, ref, letter(F.upper(F.regexp_extract(ref, r"[xX]([0-9a-fA-F]+)", 1)))
-        ),
-    )
+
+def _character(digits: Column, base: int) -> Column:
+    # More digits than any character needs: beyond Unicode.
+    significant = F.regexp_replace(digits, "^0+", "")
+    code = F.when(F.length(significant) <= 8, F.conv(F.concat(F.lit("0"), significant), base, 10).cast("long")).otherwise(0x110000)
+    table = F.create_map(*[F.lit(x) for pair in RENUMBERED.items() for x in pair])
+    beyond = (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    none = code.between(1, 8) | (code == 0x0B) | code.between(0x0E, 0x1F) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE)
+    plain = F.decode(F.unhex(F.lpad(F.hex(F.when(beyond, 0xFFFD).otherwise(code)), 8, "0")), "UTF-32")
+    return F.coalesce(F.try_element_at(table, code.cast("int")), F.when(beyond, "\ufffd").when(none, "").otherwise(plain))
 
 
 def plain_text(c: Column, entities: bool = True) -> Column:
@@ -139,7 +158,7 @@ def contains_any(text: Column, words: Iterable[str], whole_words: bool = False)
     # A word that contains another listed word adds nothing to a substring test.
     kept = [w for w in folded if not any(o != w and o in w for o in folded)]
     if whole_words:
-        alternatives = "|".join(w.replace(".", r"\.") for w in folded)
+        alternatives = "|".join(re.escape(w) for w in folded)
         return text.rlike(rf"\b({alternatives})\b")
     test = F.lit(False)
     for w in kept:

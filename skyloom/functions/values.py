@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skyloom.constants import (
     LATE_AFTER_MINUTES,
@@ -25,6 +25,17 @@ def null_for_nan(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def number(c: Column) -> Column:
+    """Any column as a number; unreadable values and NaN are missing."""
+    return null_for_nan(c.try_cast("double"))
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN in floating-point columns becomes null: missing has one form only."""
+    real = [n for n, k in df.dtypes if k in ("double", "float")]
+    return df.withColumns({n: null_for_nan(F.col(f"`{n}`")) for n in real}) if real else df
+
+
 def arrival_delay(arrival: Column, departure: Column) -> Column:
     """Arrival delay, else departure delay; words for "missing" count as missing."""
     missing = arrival.isNull() | F.lower(arrival.cast("string")).isin(*MISSING_DELAY_WORDS)
@@ -33,12 +44,12 @@ def arrival_delay(arrival: Column, departure: Column) -> Column:
 
 def late_label(delay: Column, after: float = LATE_AFTER_MINUTES) -> Column:
     """1 when the delay exceeds the threshold, else 0; also 0 for an unknown delay."""
-    return F.coalesce(delay.try_cast("double") > after, F.lit(False)).cast("int")
+    return F.coalesce(number(delay) > after, F.lit(False)).cast("int")
 
 
 def flag(c: Column) -> Column:
     """0/1 flag read from any column; unreadable and missing values are 0."""
-    return F.coalesce(c.try_cast("double").cast("int"), F.lit(0))
+    return F.coalesce(number(c).try_cast("int"), F.lit(0))
 
 
 def percent_deviation(value: Column, mean: Column) -> Column:

@@ -86,8 +86,9 @@ def drop_leakage(df: DataFrame, target: str, estimates: bool = False) -> DataFra
 
 
 def model_input(table: DataFrame, target: str = TARGET) -> DataFrame:
-    """Rows with a target; leakage columns out, date parts in."""
-    known = table.where(F.col(target).isNotNull())
+    """Rows with a target (neither null nor NaN); leakage columns out, date parts in."""
+    goal = F.col(f"`{target}`")
+    known = table.where(goal.isNotNull() & ~F.isnan(goal.cast("double")))
     return date_parts(drop_leakage(known, target), drop=FEATURE_DATE_COLUMNS)
 
 
@@ -96,7 +97,16 @@ def text_columns(df: DataFrame) -> list[str]:
 
 
 def number_columns(df: DataFrame) -> list[str]:
-    return [n for n, k in df.dtypes if k in ("int", "bigint", "double", "float", "smallint", "tinyint")]
+    """Numbers, decimals and booleans; booleans count as 0 and 1."""
+    kinds = ("int", "bigint", "double", "float", "smallint", "tinyint", "boolean")
+    return [n for n, k in df.dtypes if k in kinds or k.startswith("decimal")]
+
+
+def refuse_other_columns(df: DataFrame) -> None:
+    """A column that is neither text nor number must be turned into one, or left out, by the caller."""
+    other = sorted(set(df.columns) - set(text_columns(df)) - set(number_columns(df)))
+    if other:
+        raise ValueError(f"columns that are neither text nor number: {', '.join(other)}")
 
 
 # Category codes ----------------------------------------------------------------------------
@@ -238,37 +248,55 @@ def seeded_hash(keys: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in keys], F.lit(str(seed))))
 
 
-def hash_cuts(df: DataFrame, keys: Sequence[str], shares: Sequence[float], seed: int, by: str | None = None) -> DataFrame:
+PREFIX = 4
+EXACT_CELL = 200_000
+
+
+def _placed(cells: DataFrame) -> DataFrame:
+    """The cell of hash values (stratum, cut, prefix, n) in which each cut's target lies, with the rows before it."""
+    upto = Window.partitionBy("stratum", "cut").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    counted = cells.withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    return counted.where("target > before and target <= before + n")
+
+
+def _in_cells(hashed: DataFrame, edge: DataFrame, length: int) -> DataFrame:
+    """Hashes of the cells that hold a cut; a null stratum is a stratum."""
+    named = edge.withColumnsRenamed({"stratum": "__stratum", "prefix": "__prefix", "n": "__n"})
+    test = F.col("stratum").eqNullSafe(F.col("__stratum")) & (F.substring("h", 1, length) == F.col("__prefix"))
+    return hashed.join(named, test).drop("__stratum", "__prefix", "__n")
+
+
+def hash_cuts(
+    df: DataFrame, keys: Sequence[str], shares: Sequence[float], seed: int, by: str | None = None, exact_cell: int = EXACT_CELL
+) -> DataFrame:
     """Per stratum, the hash values that end the first ``ceil(share * rows)`` rows.
 
-    A histogram of hash prefixes (at most 65,536 per stratum) finds the prefix in which each
-    cut falls, and only the rows of those prefixes are ranked. The table itself is not sorted
-    and not moved.
+    A histogram of hash prefixes (at most 65,536 per stratum and cut) finds the prefix in which each
+    cut falls; while such a prefix holds more than ``exact_cell`` rows, a longer one is looked for within it. Only the rows
+    of the last prefixes are ranked. The table itself is not sorted and not moved.
     """
     stratum = F.lit(0) if by is None else F.col(f"`{by}`")
-    hashed = df.select(stratum.alias("stratum"), seeded_hash(keys, seed).alias("h")).withColumn(
-        "prefix", F.substring("h", 1, 4)
-    )
-    histogram = hashed.groupBy("stratum", "prefix").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("stratum").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("stratum")
+    hashed = df.select(stratum.alias("stratum"), seeded_hash(keys, seed).alias("h"))
+    histogram = hashed.groupBy("stratum", F.substring("h", 1, PREFIX).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
     wanted = F.array(*[F.struct(F.lit(i).alias("cut"), F.lit(float(s)).alias("share")) for i, s in enumerate(shares)])
-    placed = (
-        histogram.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
-        .withColumn("rows", F.sum("n").over(whole))
+    cells = (
+        histogram.withColumn("rows", F.sum("n").over(Window.partitionBy("stratum")))
         .withColumn("w", F.explode(wanted))
         .select(
-            "stratum", "prefix", "before", "n", "w.cut",
+            "stratum", "prefix", "n", "w.cut", F.lit(0).cast("long").alias("before"),
             F.ceil(F.bround(F.col("w.share") * F.col("rows"), 6)).alias("target"),
         )
-        .where("target > before and target <= before + n")
     )
     # One row per stratum and cut.
-    edge = sized(placed)
+    edge, length = sized(_placed(cells)), PREFIX
+    while length < 32 and (edge.agg(F.max("n")).first()[0] or 0) > exact_cell:
+        length += PREFIX
+        inner = _in_cells(hashed, edge, length - PREFIX).groupBy(
+            "stratum", "cut", "before", "target", F.substring("h", 1, length).alias("prefix")
+        ).agg(F.count(F.lit(1)).alias("n"))
+        edge = sized(_placed(inner))
     # Copies of a key share their hash and count as one entry, so they never pile up in a window.
-    inside = hashed.join(edge, ["stratum", "prefix"]).groupBy("stratum", "cut", "h", "before", "target").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    inside = _in_cells(hashed, edge, length).groupBy("stratum", "cut", "h", "before", "target").agg(F.count(F.lit(1)).alias("n"))
     upto_here = Window.partitionBy("stratum", "cut").orderBy("h")
     return (
         inside.withColumn("place", F.sum("n").over(upto_here) + F.col("before"))
@@ -281,14 +309,15 @@ def hash_cuts(df: DataFrame, keys: Sequence[str], shares: Sequence[float], seed:
 
 
 def assign_parts(
-    df: DataFrame, keys: Sequence[str], shares: Sequence[float], seed: int = 42, by: str | None = None, name: str = "part"
+    df: DataFrame, keys: Sequence[str], shares: Sequence[float], seed: int = 42, by: str | None = None, name: str = "part",
+    exact_cell: int = EXACT_CELL,
 ) -> DataFrame:
     """Number the part of each row: 0 up to the first cut, and so on.
 
     Rows with equal ``keys`` stay together; with unique keys the parts have their exact sizes.
     """
     # One row per stratum.
-    cuts = sized(hash_cuts(df, keys, shares, seed, by))
+    cuts = sized(hash_cuts(df, keys, shares, seed, by, exact_cell))
     stratum = F.lit(0) if by is None else F.col(f"`{by}`")
     keyed = df.withColumn("__stratum", stratum).withColumn("__h", seeded_hash(keys, seed))
     joined = attach(keyed, cuts, {"__stratum": "stratum"}, null_keys_match=True)
@@ -297,10 +326,10 @@ def assign_parts(
 
 
 def split(
-    df: DataFrame, keys: Sequence[str], test_share: float = 0.2, seed: int = 42, by: str | None = None
+    df: DataFrame, keys: Sequence[str], test_share: float = 0.2, seed: int = 42, by: str | None = None, exact_cell: int = EXACT_CELL
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; each stratum gives ``ceil(test_share * rows)`` rows to the test."""
-    parts = assign_parts(df, keys, [test_share], seed, by, "__part")
+    parts = assign_parts(df, keys, [test_share], seed, by, "__part", exact_cell)
     return parts.where("__part = 1").drop("__part"), parts.where("__part = 0").drop("__part")
 
 

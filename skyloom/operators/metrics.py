@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyloom.operators.slices import ROWS_PER_SLICE, running_totals
+from skyloom.session import stored
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -67,14 +68,17 @@ def roc_auc(
     df: DataFrame, label: str = "label", score: str = "probability", rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Exact area under the ROC curve; equal scores share their rank. Null with one class only."""
-    groups = df.groupBy(F.col(score).alias("s")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    # Read by the slice limits, the totals and the ranks; the scores behind it are computed once.
+    groups = stored(
+        df.groupBy(F.col(score).alias("s")).agg(
+            F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+        )
     )
     ranked = running_totals(groups, ["s"], {"neg": "neg_below"}, rows_per_slice)
-    won = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2))
-    return ranked.agg(
-        (won / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("roc_auc")
-    )
+    # In double precision: products of counts pass the range of long integers.
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    won = F.sum(pos * (F.col("neg_below").cast("double") + neg / 2))
+    return ranked.agg((won / F.nullif(F.sum(pos) * F.sum(neg), F.lit(0.0))).alias("roc_auc"))
 
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

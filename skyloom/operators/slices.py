@@ -18,8 +18,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from skyloom.functions.values import null_for_nan
+from skyloom.session import stored
+
 ROWS_PER_SLICE = 500_000
-MAX_SLICES = 4096
 SAMPLES_PER_SLICE = 20
 SLICE = "__slice"
 SEED = 7
@@ -52,15 +54,17 @@ class Slices:
 
     def _limits(self, df: DataFrame, rows_per_slice: int) -> list[str]:
         rows = df.count()
-        wanted = min(MAX_SLICES, math.ceil(rows / rows_per_slice))
+        wanted = math.ceil(rows / rows_per_slice)
         if wanted <= 1:
             return []
         fraction = min(1.0, wanted * SAMPLES_PER_SLICE / rows)
         keys = df.select(self.key.alias("k")).sample(fraction=fraction, seed=SEED)
-        # About SAMPLES_PER_SLICE rows per slice reach the driver, whatever the table's size.
-        texts = [r["k"] for r in keys.orderBy("k").select(F.to_json("k").alias("k")).collect()]
-        picked = [texts[len(texts) * i // wanted] for i in range(1, wanted)] if texts else []
-        return list(dict.fromkeys(picked))
+        # The sample is sorted and thinned in tasks; one key per slice reaches the driver.
+        every = max(1, round(rows * fraction / wanted))
+        sorted_keys = keys.orderBy("k").withColumn("__part", F.spark_partition_id())
+        place = F.row_number().over(Window.partitionBy("__part").orderBy("k"))
+        thinned = sorted_keys.withColumn("__place", place).where(F.col("__place") % every == every // 2)
+        return list(dict.fromkeys(r["k"] for r in thinned.orderBy("k").select(F.to_json("k").alias("k")).collect()))
 
     @property
     def single(self) -> bool:
@@ -112,54 +116,38 @@ def fill_both_ways(
     columns: Sequence[str] | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Give each missing value the last one before it in order, else the first one after it."""
+    """Give each missing value (null or NaN) the last one before it in order, else the first one after it."""
     columns = list(columns) if columns is not None else [c for c in df.columns if c not in order]
-    slices = Slices(df, order, rows_per_slice)
-    if slices.single:
-        return _fill_one_slice(df, slices.sort(), columns)
-    cut = slices.assign(df)
-    key = slices.key
-    last_here = [
-        F.max_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), key)).alias(f"l{i}")
-        for i, c in enumerate(columns)
-    ]
-    first_here = [
-        F.min_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), key)).alias(f"f{i}")
-        for i, c in enumerate(columns)
-    ]
-    # One row per slice: at most MAX_SLICES rows, which bounds both the window and the broadcast.
-    ends = cut.groupBy(SLICE).agg(*last_here, *first_here)
-    before = _carry_window().rowsBetween(Window.unboundedPreceding, -1)
-    whole = _carry_window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carried = ends.select(
-        SLICE,
-        *[F.last(f"l{i}", ignorenulls=True).over(before).alias(f"c{i}") for i in range(len(columns))],
-        *[F.first(f"f{i}", ignorenulls=True).over(whole).alias(f"h{i}") for i in range(len(columns))],
-    )
-    inside = Window.partitionBy(SLICE).orderBy(*slices.sort()).rowsBetween(Window.unboundedPreceding, 0)
+    slices, kinds = Slices(df, order, rows_per_slice), dict(df.dtypes)
+    present = {c: null_for_nan(F.col(f"`{c}`")) if kinds[c] in ("double", "float") else F.col(f"`{c}`") for c in columns}
+    inside = Window.partitionBy(SLICE).orderBy(*slices.sort())
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cells = {}
+    for i, c in enumerate(columns):
+        cells[f"__r{i}"] = F.last(present[c], ignorenulls=True).over(upto)
+        cells[f"__l{i}"] = F.last(present[c], ignorenulls=True).over(whole)
+        cells[f"__f{i}"] = F.first(present[c], ignorenulls=True).over(whole)
+    run = slices.assign(df).withColumns(cells)
     # What is still missing after the forward fill precedes every value of its column, so the
     # backward fill gives it the column's very first value.
-    run = cut.withColumns(
-        {f"__r{i}": F.last(F.col(f"`{c}`"), ignorenulls=True).over(inside) for i, c in enumerate(columns)}
-    )
-    joined = run.join(F.broadcast(carried), SLICE, "left")
-    value = {c: F.coalesce(f"__r{i}", f"c{i}", f"h{i}") for i, c in enumerate(columns)}
-    return joined.select(*[value[c].alias(c) if c in value else F.col(f"`{c}`") for c in df.columns])
-
-
-def _fill_one_slice(df: DataFrame, sort: list[Column], columns: Sequence[str]) -> DataFrame:
-    """The same fill for a table that fits one slice (at most ``rows_per_slice`` rows)."""
-    upto = Window.orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return df.withColumns(
-        {
-            c: F.coalesce(
-                F.last(F.col(f"`{c}`"), ignorenulls=True).over(upto),
-                F.first(F.col(f"`{c}`"), ignorenulls=True).over(whole),
-            )
-            for c in columns
-        }
-    )
+    if slices.single:
+        value = {c: F.coalesce(f"__r{i}", f"__f{i}") for i, c in enumerate(columns)}
+    else:
+        # One shuffle and one sort of the table; the ends of the slices are read from its result.
+        run = stored(run)
+        ends = run.groupBy(SLICE).agg(*[F.any_value(f"__{k}{i}").alias(f"{k}{i}") for k in "lf" for i in range(len(columns))])
+        earlier = _carry_window().rowsBetween(Window.unboundedPreceding, -1)
+        all_slices = _carry_window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        # One row per slice.
+        carried = ends.select(
+            SLICE,
+            *[F.last(f"l{i}", ignorenulls=True).over(earlier).alias(f"c{i}") for i in range(len(columns))],
+            *[F.first(f"f{i}", ignorenulls=True).over(all_slices).alias(f"h{i}") for i in range(len(columns))],
+        )
+        run = run.join(F.broadcast(carried), SLICE, "left")
+        value = {c: F.coalesce(f"__r{i}", f"c{i}", f"h{i}") for i, c in enumerate(columns)}
+    return run.select(*[value[c].alias(c) if c in value else F.col(f"`{c}`") for c in df.columns])
 
 
 def ordinals(

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from skyloom.constants import CONGESTION_OVER_PERCENT, LATE_AFTER_MINUTES
+from skyloom.constants import CONGESTION_OVER_PERCENT_BATCH, LATE_AFTER_MINUTES
 from skyloom.operators import calendar as cal
 from skyloom.operators import congestion as cong
 from skyloom.operators import movements as mov
@@ -18,7 +18,7 @@ from skyloom.session import settle, stored
 
 @dataclass(frozen=True)
 class Rules:
-    congestion_over: float = CONGESTION_OVER_PERCENT
+    congestion_over: float = CONGESTION_OVER_PERCENT_BATCH
     late_after: float = LATE_AFTER_MINUTES
     trim_head: int = 3
     trim_tail: int = 1

@@ -51,20 +51,30 @@ def predictions(
     classifier_encoding: Encoding,
     regressor: PipelineModel,
     regressor_encoding: Encoding,
+    matched: str | None = None,
 ) -> DataFrame:
-    """Delay probability, late flag, minutes (not negative) and risk band of each row."""
+    """Delay probability, late flag, minutes (not negative) and risk band of each row.
+
+    A missing category is empty text here, which no training row holds. Where the boolean column ``matched`` is not true there is no flight
+    to score, and all results are null.
+    """
     source = date_parts(df) if "flight_date" in df.columns else df
+    known = F.lit(True) if matched is None else F.coalesce(F.col(matched), F.lit(False))
+    source = source.withColumn("__matched", known)
     # The raw row travels along, so the second encoding needs no join back.
     carried = source.withColumn("__raw", F.struct(*[F.col(f"`{c}`") for c in source.columns]))
-    first = classifier.transform(classifier_encoding.apply(carried)).select(
+    first = classifier.transform(classifier_encoding.apply(carried, "")).select(
         vector_to_array("probability")[1].alias("delay_probability"),
         (F.col("prediction") == 1).alias("is_delayed"),
         "__raw.*",
     )
-    second = regressor.transform(regressor_encoding.apply(first))
-    return second.select(
+    second = regressor.transform(regressor_encoding.apply(first, ""))
+    scored = second.select(
         *row_id,
+        "__matched",
         "delay_probability",
         not_negative(F.col("prediction")).alias("predicted_arrival_delay_minutes"),
         "is_delayed",
     ).withColumn("risk", risk_band(F.col("predicted_arrival_delay_minutes")))
+    results = [c for c in scored.columns if c not in (*row_id, "__matched")]
+    return scored.select(*row_id, *[F.when(F.col("__matched"), F.col(c)).alias(c) for c in results])

@@ -53,17 +53,24 @@ class Encoding:
     def features(self) -> list[str]:
         return [*self.categories, *self.numbers]
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        """Codes for categories, medians for missing numbers; absent columns read as missing."""
+    def apply(self, df: DataFrame, missing: str | None = None) -> DataFrame:
+        """Codes for categories, medians for missing numbers; absent columns read as missing.
+
+        ``missing`` is the text a missing category stands for; without it, the training rows' own category of missing values.
+        """
         absent = {c: F.lit(None).cast("string") for c in self.categories if c not in df.columns}
         absent |= {c: F.lit(None).cast("double") for c in self.numbers if c not in df.columns}
-        coded = ft.apply_codes(df.withColumns(absent), self.codes, self.categories) if self.categories else df.withColumns(absent)
+        whole = df.withColumns(absent)
+        if missing is not None:
+            whole = whole.fillna(missing, subset=self.categories)
+        coded = ft.apply_codes(whole, self.codes, self.categories) if self.categories else whole
         return ft.impute(coded, self.medians)
 
 
 def fit_encoding(train: DataFrame, ignore: Sequence[str]) -> Encoding:
     used = [c for c in train.columns if c not in ignore]
     part = train.select(*[F.col(f"`{c}`") for c in used])
+    ft.refuse_other_columns(part)
     categories, numbers = ft.text_columns(part), ft.number_columns(part)
     middle = ft.medians(part, numbers).first().asDict() if numbers else {}
     codes = (

@@ -15,6 +15,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from skyloom.functions.values import without_nan
+
 TEXT, INT, REAL, DAY, MOMENT = StringType(), IntegerType(), DoubleType(), DateType(), TimestampType()
 
 
@@ -163,12 +165,12 @@ def require(df: DataFrame, columns) -> DataFrame:
 
 
 def conform(df: DataFrame, layout: StructType, required=()) -> DataFrame:
-    """Exactly the columns of ``layout``, in its order and types; absent ones are null."""
+    """Exactly the columns of ``layout``, in its order and types; absent ones and NaN are null."""
     require(df, required)
-    return df.select(
+    return without_nan(df.select(
         *[
             (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
             .alias(f.name)
             for f in layout.fields
         ]
-    )
+    ))

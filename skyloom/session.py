@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,15 +55,19 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one the cluster names, else (local only) our own."""
+    """Folder every executor can reach: the one the cluster names.
+
+    Only threads of this one process may do without: they get a temporary folder, removed at exit.
+    """
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_SETTING, None)
     in_use = context.getCheckpointDir()
     if in_use is None:
         if not named:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
                 raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
             named = tempfile.mkdtemp(prefix="skyloom-checkpoints-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
         context.setCheckpointDir(named)
     return named or in_use
 
@@ -70,11 +78,36 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_owners: list[list[str]] = []
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Compute a large table once and keep it as parquet in the shared folder.
 
-    For tables that are read several times afterwards: each reading scans only its columns.
+    For tables that are read several times afterwards: each reading scans only its columns. The table stays
+    until the ``scratch`` block it was made in ends; without one, until the folder is cleared.
     """
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    if _owners:
+        _owners[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Own the tables stored in the block: they are deleted at its end, so results must be written within it."""
+    own: list[str] = []
+    _owners.append(own)
+    try:
+        yield
+    finally:
+        _owners.remove(own)
+        for path in own:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a stored table, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from skyloom.constants import GENERATION_STAMP
+from skyloom.functions.values import without_nan
 from skyloom.operators.shaping import stack, trimmed_names
 
 
@@ -30,7 +31,7 @@ def read_csv(
     if trim:
         reader = reader.option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
     if schema is not None and not trim:
-        return reader.schema(schema).csv(path)
+        return without_nan(reader.schema(schema).csv(path))
     df = reader.csv(path)
     if trim:
         df = trimmed_names(df)
@@ -38,7 +39,7 @@ def read_csv(
     if schema is not None:
         kinds = {f.name: f.dataType for f in schema.fields}
         df = df.select(*[F.col(f"`{c}`").try_cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
-    return df
+    return without_nan(df)
 
 
 def read_table(spark: SparkSession, *paths: str) -> DataFrame:
@@ -46,7 +47,7 @@ def read_table(spark: SparkSession, *paths: str) -> DataFrame:
     df = spark.read.parquet(*paths)
     if df.isEmpty():
         raise EmptyTable(f"no rows in {', '.join(paths)}")
-    return df
+    return without_nan(df)
 
 
 def read_all(spark: SparkSession, groups: Sequence[Sequence[str]], sep: str = ",") -> DataFrame:

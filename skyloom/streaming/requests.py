@@ -15,7 +15,7 @@ from pyspark.sql.types import StructField, StructType, TimestampType
 
 from skyloom.operators.matching import match_candidates, on_days_asked, prepared
 from skyloom.schemas import REQUEST
-from skyloom.session import settle
+from skyloom.session import scratch, stored
 
 EVENT_TIME = "asked_at"
 STREAM_REQUEST = StructType([*REQUEST.fields, StructField(EVENT_TIME, TimestampType())])
@@ -40,8 +40,9 @@ def answer_stream(
     checkpoint: str,
     score: Callable[[DataFrame], DataFrame] | None = None,
     within: str = "1 hour",
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Start the job; it stops when the files at hand are used up (``availableNow``).
+    """Start the job. It runs on with a batch ``every`` so often, or else stops when the files at hand are used up.
 
     ``score`` turns the matched requests of a batch into scored ones.
     """
@@ -50,18 +51,20 @@ def answer_stream(
     offered = prepared(flights, order)
 
     def write(batch: DataFrame, number: int) -> None:
-        # Read three times below; kept so that the files and the state are read once.
-        asked = settle(batch.drop(EVENT_TIME))
-        answers = match_candidates(asked, on_days_asked(offered, asked), order)
-        if score is not None:
-            answers = score(answers)
-        answers.write.mode("overwrite").parquet(f"{output}/batch={number}")
+        # What a batch stores is dropped when its answers are written.
+        with scratch(batch.sparkSession):
+            # Read three times below; kept so that the files and the state are read once.
+            asked = stored(batch.drop(EVENT_TIME))
+            answers = match_candidates(asked, on_days_asked(offered, asked), order)
+            if score is not None:
+                answers = score(answers)
+            answers.write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     return (
         once_each(requests, within)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**({"processingTime": every} if every else {"availableNow": True}))
         .start()
     )
 
