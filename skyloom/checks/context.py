@@ -41,7 +41,7 @@ def hourly_join(t: Tables) -> DataFrame:
     return arr.select("event_id", "value_dep", "user_id_dep", "value_arr", "user_id_arr")
 
 
-def _weather(t: Tables) -> DataFrame:
+def weather_rows(t: Tables) -> DataFrame:
     """Events as raw hourly readings of six airports, some named by city."""
     raw = t.events.selectExpr(
         "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") as time",
@@ -73,7 +73,7 @@ weather as (
 
 @query("weather_table", f"with {SQL_WEATHER} select * from weather")
 def weather_table(t: Tables) -> DataFrame:
-    return _weather(t).withColumn("time", F.col("time").cast("timestamp_ntz"))
+    return weather_rows(t).withColumn("time", F.col("time").cast("timestamp_ntz"))
 
 
 @query(
@@ -95,7 +95,7 @@ def weather_audit(t: Tables) -> DataFrame:
         "element_at(array('ORY', 'MRS', 'TLS'), cast(event_id % 3 + 1 as int)) as airport_destination",
         clock.format("ts", "+02:00") + " as scheduled_departure", clock.format("ts + interval 1 hour", "Z") + " as scheduled_arrival",
     )
-    weather = _weather(t)
+    weather = weather_rows(t)
     joined = wx.add_weather(flights, weather)
     changed = joined.select(
         *flights.columns, F.lit("Non").alias("fog_dep"), F.lit(None).cast("double").alias("temperature_2m_arr")

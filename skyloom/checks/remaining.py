@@ -12,6 +12,12 @@ from skyloom.operators import shaping as sh
 from skyloom.operators.lookup import attach, sized
 from skyloom.operators.strikes import in_window
 from skyloom.operators.weather import weather_on_day
+from skyloom.operators import movements as mov
+from skyloom.operators.signoff import LABEL, finish
+from skyloom.checks.context import SQL_WEATHER, weather_rows
+from skyloom.checks.traffic import MERGED, SQL_RECORDS, boards
+from skyloom.checks.base import SQL_TARGET
+from skyloom.plans.history import flight_history
 
 # Written-out pairs of text with references and the text they stand for.
 REFERENCES = [
@@ -119,3 +125,31 @@ def lookup_shuffled(t: Tables) -> DataFrame:
     """A lookup table beyond the broadcast bound."""
     names = sized(t.customer.where("c_custkey % 3 > 0").select("c_custkey", "c_name"), max_rows=0)
     return attach(t.orders.select("o_orderkey", "o_custkey"), names, {"o_custkey": "c_custkey"}).select("o_orderkey", "c_name")
+
+
+@query(
+    "history",
+    f"""
+with {SQL_RECORDS},
+merged as (select {', '.join(mov.MERGE_KEYS)}, {MERGED} from records where {SQL_TARGET} group by {', '.join(mov.MERGE_KEYS)}),
+flights as (select *, cast(coalesce(arrival_delay_min, departure_delay_min) as int) as delay from merged
+  qualify row_number() over (partition by {', '.join(mov.IDENTITY)} order by airline nulls last, movement_date nulls last) = 1),
+{SQL_WEATHER.replace('raw as (', 'readings as (', 1).replace('from raw)', 'from readings)')},
+hourly as (select icao, date_trunc('hour', time) as hour, temperature_2m from weather
+  qualify row_number() over (partition by icao, date_trunc('hour', time) order by time, relative_humidity_2m nulls last, dew_point nulls last) = 1)
+select flight_number, flight_date, airport_origin, airport_destination, scheduled_departure, delay as arrival_delay_min,
+  cast(coalesce(delay > 15, false) as int) as late, temperature_2m as temperature_2m_dep
+from flights left join hourly on icao = airport_origin and hour = date_trunc('hour', strptime(substr(scheduled_departure, 1, 16), '%Y-%m-%d %H:%M'))
+where coalesce(lower(trim(status)), '') <> 'unknown'""",
+)
+def history(t: Tables) -> DataFrame:
+    """The whole build: landed boards, weather, calendar and news to the final table."""
+    articles = t.documents.selectExpr(
+        "substring(text, 1, 200) as title", "'' as description", "concat('http://a/', doc_id) as link", "source",
+        "timestamp_seconds(1704067200 + doc_id * 3600) as pub_date",
+    )
+    table = finish(flight_history(boards(t), weather_rows(t), articles, "1992-01-01", "1998-12-31"))
+    return table.select(
+        "flight_number", "flight_date", "airport_origin", "airport_destination", "scheduled_departure", F.col("arrival_delay_min").cast("int").alias("arrival_delay_min"),
+        F.col(f"`{LABEL}`").alias("late"), "temperature_2m_dep",
+    )

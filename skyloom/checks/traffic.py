@@ -349,7 +349,7 @@ def movement_records(t: Tables) -> DataFrame:
 
 
 _KEYS = mov.MERGE_KEYS
-_FIRST = ", ".join(
+MERGED = ", ".join(
     f"first({c} order by queried_airport, slot_start, side_rank) filter (where {c} is not null and cast({c} as varchar) <> '') as {c}"
     for c in _COLUMNS if c not in _KEYS
 )
@@ -359,7 +359,7 @@ _FIRST = ", ".join(
     "movement_table",
     f"""
 with {SQL_RECORDS},
-merged as (select {', '.join(_KEYS)}, {_FIRST} from records where {SQL_TARGET} group by {', '.join(_KEYS)}),
+merged as (select {', '.join(_KEYS)}, {MERGED} from records where {SQL_TARGET} group by {', '.join(_KEYS)}),
 numbered as (select *, row_number() over (partition by {', '.join(mov.IDENTITY)} order by airline nulls last, movement_date nulls last) as rn
   from merged where {SQL_TARGET})
 select {', '.join(_COLUMNS)} from numbered where rn = 1""",

@@ -13,6 +13,7 @@ from skyloom.operators.distinct import keep_first
 from skyloom.operators.lookup import attach, sized
 from skyloom.operators.movements import domestic_route, served_route, target_route, valid_movement
 from skyloom.operators.slices import positions
+from skyloom.session import stored
 
 SCOPES: dict[str, Callable[[Column, Column], Column]] = {
     "cible": target_route,
@@ -105,6 +106,8 @@ def reply_table(records: DataFrame, request: str) -> DataFrame:
 
 def trim_ends(df: DataFrame, order: list[str], head: int = 3, tail: int = 1) -> DataFrame:
     """Drop the first ``head`` and last ``tail`` rows in order."""
+    # Counted, cut into slices and summed; what lies behind it runs once.
+    df = stored(df)
     rows = df.count()
     placed = positions(df, order, "__position")
     return placed.where((F.col("__position") >= head) & (F.col("__position") < rows - tail)).drop("__position")

@@ -8,6 +8,7 @@ from skyloom.constants import MATCH_TOLERANCE_MINUTES
 from skyloom.functions.text import airport_code, day_and_hour, flight_code
 from skyloom.functions.times import clock_minutes, minute_of_day, wall_clock
 from skyloom.operators.distinct import keep_first
+from skyloom.operators.lookup import sized
 from skyloom.session import stored
 
 FOUND = ["flight_number", "scheduled_departure", "airport_origin", "airport_destination"]
@@ -42,8 +43,8 @@ def questions(requests: DataFrame) -> DataFrame:
     )
 
 
-def candidates(flights: DataFrame, order: list[str]) -> DataFrame:
-    """Flights by every number they can be asked under.
+def candidates(flights: DataFrame, order: list[str], asked: DataFrame | None = None) -> DataFrame:
+    """Flights by every number they can be asked under; only those of a (number, day) in ``asked``, when that is given.
 
     Only the ends and the minute of departure decide a match, so flights that agree in these
     are reduced to the first one, before and after the shuffle: what a request has to be
@@ -62,6 +63,9 @@ def candidates(flights: DataFrame, order: list[str]) -> DataFrame:
         *[F.col(c).alias(f"place_{i}") for i, c in enumerate(order)],
         F.struct(*FOUND).alias("flight"),
     )
+    if asked is not None:
+        # Before the ranking, so that flights nobody asks for are neither ranked nor moved; measured for broadcast.
+        rows = rows.join(sized(asked.select("number", "day").distinct()), ["number", "day"], "left_semi")
     return keep_first(rows, ["number", "day", "from", "to", "minute"], _places(order))
 
 
@@ -92,7 +96,7 @@ def match(
     the nearest departure time, unless it is further than ``tolerance``. ``order`` breaks ties
     and must tell flights apart.
     """
-    return match_candidates(requests, candidates(flights, order), order, tolerance)
+    return match_candidates(requests, candidates(flights, order, questions(requests)), order, tolerance)
 
 
 def match_candidates(
