@@ -73,7 +73,7 @@ def host_bounds(outcomes: DataFrame, hosts: DataFrame, z: float = 1.645, low: fl
     ``outcomes`` (host, bad 0/1) are labelled pages; null values are ignored. The rate of a suffix is shrunk
     to the overall rate, that of a registered domain to its suffix, that of a host to its domain. The
     bound is the mean of the host's beta posterior less ``z`` standard deviations. A host without labelled
-    pages has the rate of the nearest level that has some; with no outcome at all the rate is 1/2. Only
+    pages has the rate of the nearest level that has some; with no outcome at all the bound is 0. Only
     four numbers reach the driver: the overall rate and the prior strength of each level.
     """
     store = Store(hosts.sparkSession)
@@ -85,7 +85,9 @@ def host_bounds(outcomes: DataFrame, hosts: DataFrame, z: float = 1.645, low: fl
         up = LEVELS[: LEVELS.index(level) + 1]
         levels[level] = levels[below].groupBy(*up, "everything").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     total = levels["suffix"].agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
-    mean, weight = F.lit(((total["k"] or 0) + 0.5) / ((total["n"] or 0) + 1)), F.lit(0.0)
+    if not total["n"]:
+        return hosts.select("host").distinct().withColumn("bound", F.lit(0.0))
+    mean, weight = F.lit((total["k"] + 0.5) / (total["n"] + 1)), F.lit(0.0)
     result = hosts.select("host").distinct().withColumns(named)
     for level, parent in zip(LEVELS, ("everything", "suffix", "domain")):
         strength = _strength(levels[level], parent, low, high)
@@ -108,7 +110,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str,
     """
     parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     labelled = outcomes.select("page_id", "bad").join(parsed.select("page_id", "host").distinct(), "page_id")
-    bounds = host_bounds(labelled.select("host", "bad"), parsed)
+    # Stored, so that the last join deals both sides out itself and can split a hot host.
+    bounds = Store(pages.sparkSession).keep(host_bounds(labelled.select("host", "bad"), parsed))
     by_host = F.when(F.col("bound") > limit, "block").otherwise("allow")
     found = rule_for(F.col("host"), F.col("path"), rules)
     return parsed.join(bounds, "host", "left").withColumn("found", found).select(
