@@ -176,7 +176,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
     """
     store = Store(docs.sparkSession)
     found = matches(docs, benchmark, store, threshold, least)
-    best = found.groupBy("text_key").agg(F.max_by("item_id", F.struct("coverage", -F.col("item_id"))).alias("item_id"), F.max("coverage").alias("coverage"), F.count(F.lit(1)).alias("n_items"))
+    first = F.min(F.struct((-F.col("coverage")).alias("order"), "item_id"))
+    best = found.groupBy("text_key").agg(first["item_id"].alias("item_id"), F.max("coverage").alias("coverage"), F.count(F.lit(1)).alias("n_items"))
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"))
     return keyed.join(best, "text_key", "left").select(
         "doc_id", "text_key", F.col("coverage").isNotNull().alias("contaminated"), "item_id", F.coalesce("coverage", F.lit(0.0)).alias("coverage"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
