@@ -85,10 +85,11 @@ f as (select event_id, ['CDG', 'NCE', 'LYS'][cast(user_id % 3 + 1 as int)] as o,
 cells as (
   select 'fog_dep' as colonne, 'Non' is not distinct from fog as same from f left join hourly h on h.icao = o and h.hour = date_trunc('hour', m - interval 2 hour)
   union all select 'temperature_2m_arr', temperature_2m is null from f left join hourly h on h.icao = d and h.hour = date_trunc('hour', m + interval 1 hour))
-select colonne, count(*) as cells, count(*) filter (where not same) as differing from cells group by 1""",
+select colonne, count(*) as cells, count(*) filter (where not same) as differing from cells group by 1
+{" ".join(f"union all select '{c}{s}', count(*), 0 from events" for s in ("_dep", "_arr") for c in wx.WEATHER.fieldNames() if c != "icao" and c + s not in ("fog_dep", "temperature_2m_arr"))}""",
 )
 def weather_audit(t: Tables) -> DataFrame:
-    """Two weather columns overwritten after the join; the audit finds each changed cell."""
+    """All weather columns of both ends, two of them overwritten after the join; the audit finds each changed cell."""
     clock = "date_format({}, \"yyyy-MM-dd HH:mm'{}'\")"
     flights = t.events.selectExpr(
         "event_id", "element_at(array('CDG', 'NCE', 'LYS'), cast(user_id % 3 + 1 as int)) as airport_origin",
@@ -97,9 +98,7 @@ def weather_audit(t: Tables) -> DataFrame:
     )
     weather = weather_rows(t)
     joined = wx.add_weather(flights, weather)
-    changed = joined.select(
-        *flights.columns, F.lit("Non").alias("fog_dep"), F.lit(None).cast("double").alias("temperature_2m_arr")
-    )
+    changed = joined.withColumns({"fog_dep": F.lit("Non"), "temperature_2m_arr": F.lit(None).cast("double")})
     cells = wx.audit(changed, weather, ["event_id"])
     return cells.groupBy("colonne").agg(F.count(F.lit(1)).alias("cells"), F.count_if(~F.col("same")).alias("differing"))
 

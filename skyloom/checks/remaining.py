@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from skyloom.checks.base import Tables, query, quote
+from skyloom.checks.base import SQL_TARGET, Tables, query, quote
+from skyloom.checks.context import SQL_WEATHER, weather_rows
+from skyloom.checks.traffic import MERGED, SQL_RECORDS, boards
 from skyloom.functions import text, values
+from skyloom.functions.times import easter
 from skyloom.operators import features as ft
+from skyloom.operators import movements as mov
 from skyloom.operators import shaping as sh
 from skyloom.operators.lookup import attach, sized
+from skyloom.operators.signoff import LABEL, finish
 from skyloom.operators.strikes import in_window
 from skyloom.operators.weather import weather_on_day
-from skyloom.operators import movements as mov
-from skyloom.operators.signoff import LABEL, finish
-from skyloom.checks.context import SQL_WEATHER, weather_rows
-from skyloom.checks.traffic import MERGED, SQL_RECORDS, boards
-from skyloom.checks.base import SQL_TARGET
 from skyloom.plans.history import flight_history
+from skyloom.sources.files import stamped
 
 # Written-out pairs of text with references and the text they stand for.
 REFERENCES = [
@@ -153,3 +154,26 @@ def history(t: Tables) -> DataFrame:
         "flight_number", "flight_date", "airport_origin", "airport_destination", "scheduled_departure", F.col("arrival_delay_min").cast("int").alias("arrival_delay_min"),
         F.col(f"`{LABEL}`").alias("late"), "temperature_2m_dep",
     )
+
+
+# Known Easter Sundays, 1990 to 2030.
+EASTERS = (
+    "1990-04-15 1991-03-31 1992-04-19 1993-04-11 1994-04-03 1995-04-16 1996-04-07 1997-03-30 1998-04-12 1999-04-04 2000-04-23 "
+    "2001-04-15 2002-03-31 2003-04-20 2004-04-11 2005-03-27 2006-04-16 2007-04-08 2008-03-23 2009-04-12 2010-04-04 2011-04-24 "
+    "2012-04-08 2013-03-31 2014-04-20 2015-04-05 2016-03-27 2017-04-16 2018-04-01 2019-04-21 2020-04-12 2021-04-04 2022-04-17 "
+    "2023-04-09 2024-03-31 2025-04-20 2026-04-05 2027-03-28 2028-04-16 2029-04-01 2030-04-21"
+).split()
+
+
+@query(
+    "easter_dates",
+    f"select o_orderkey, [{', '.join(f'date {quote(d)}' for d in EASTERS)}][cast(o_orderkey % {len(EASTERS)} + 1 as int)] as sunday from orders",
+)
+def easter_dates(t: Tables) -> DataFrame:
+    year = (F.lit(1990) + F.col("o_orderkey") % len(EASTERS)).cast("int")
+    return t.orders.select("o_orderkey", easter(year).alias("sunday"))
+
+
+@query("stamped_rows", "select r_regionkey, timestamp '2026-04-16 23:30:18' as generated_at from region")
+def stamped_rows(t: Tables) -> DataFrame:
+    return stamped(t.region.select("r_regionkey"), "2026-04-16 23:30:18")

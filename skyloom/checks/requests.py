@@ -119,8 +119,8 @@ def request_check(t: Tables) -> DataFrame:
 with r as (
   select l_orderkey as request, {_ORDER}, 'ZZ ' || l_suppkey as flight_number_principal, case when l_partkey % 4 = 0 then 'yy ' || (l_partkey % 100) else '' end as flight_number_codeshare,
     case l_returnflag when 'A' then 'departure' when 'R' then 'arrival' else 'none' end as kind, {sql_airport('l_partkey')} as o, {sql_airport('l_orderkey')} as d,
-    strftime(l_shipdate + to_minutes(l_partkey * 7 % 1440), '%Y-%m-%d %H:%M') || '+02:00' as s from lineitem where l_linenumber <> 7),
-home as (select request, first(o order by s, o) as h from r group by 1),
+    case when l_linenumber <> 7 then strftime(l_shipdate + to_minutes(l_partkey * 7 % 1440), '%Y-%m-%d %H:%M') || '+02:00' end as s from lineitem),
+home as (select request, first(o order by s nulls last, o) as h from r group by 1),
 n as (select request, case kind when 'departure' then o else d end as a, count(*) filter (where kind = 'arrival') as x, count(*) filter (where kind = 'departure') as y
   from r where kind <> 'none' group by 1, 2)
 select {_ORDER}, flight_number_principal, flight_number_codeshare, coalesce(x, 0) as total_global_arrivals_at_airport,
@@ -128,7 +128,7 @@ select {_ORDER}, flight_number_principal, flight_number_codeshare, coalesce(x, 0
 )
 def reply_table(t: Tables) -> DataFrame:
     kind = F.expr("case l_returnflag when 'A' then 'departure' when 'R' then 'arrival' else 'none' end")
-    records = flights(t).where("l_linenumber <> 7").withColumns(
+    records = flights(t).withColumns(
         {"request": F.col("l_orderkey"), "movement_type": kind, "movement_date": F.col("flight_date")}
     )
     return cong.reply_table(records, "request").select(

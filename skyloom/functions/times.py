@@ -93,23 +93,20 @@ def half_day_slot(c: Column) -> Column:
 
 
 def easter(year: Column) -> Column:
-    """Easter Sunday of a Gregorian year.
+    """Easter Sunday of a Gregorian year, by Oudin's form of the computus (1940).
 
-    Moon age and weekday by the anonymous Gregorian computus: the epact gives the Paschal
-    full moon, the weekday term moves it to the following Sunday.
+    The Paschal full moon and the weekday that follows it give the days from 28 March.
     """
 
     def div(a: Column, b: int) -> Column:
         return F.floor(a / F.lit(b)).cast("int")
 
-    century, in_century = div(year, 100), year % 100
-    lunar_correction = div(century - div(century + 8, 25) + 1, 3)
-    epact = (year % 19 * 19 + century - div(century, 4) - lunar_correction + 15) % 30
-    weekday = (32 + century % 4 * 2 + div(in_century, 4) * 2 - epact - in_century % 4) % 7
-    shift = div(year % 19 + epact * 11 + weekday * 22, 451)
-    offset = epact + weekday - shift * 7
-    # Offset counts days from 22 March.
-    return F.date_add(F.make_date(year, F.lit(3), F.lit(22)), offset)
+    golden, century = year % 19, div(year, 100)
+    moon = (century - div(century, 4) - div(century * 8 + 13, 25) + golden * 19 + 15) % 30
+    late = (moon == 29) | ((moon == 28) & (golden > 10))
+    full_moon = moon - late.cast("int")
+    weekday = (year + div(year, 4) + full_moon + 2 - century + div(century, 4)) % 7
+    return F.date_add(F.make_date(year, F.lit(3), F.lit(28)), full_moon - weekday)
 
 
 def public_holiday(day: Column) -> Column:

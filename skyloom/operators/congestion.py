@@ -87,11 +87,12 @@ def daily_counts(movements: DataFrame) -> DataFrame:
 
 def reply_table(records: DataFrame, request: str) -> DataFrame:
     """Matched records of requests with principal and codeshare numbers as text and, for the
-    first record's airport of origin, the arrivals and departures among the request's records.
+    first record's airport of origin, the arrivals and departures among the request's records. Records without a
+    departure time come last.
 
     Totals are joined back from an aggregate, so a request with many records is not gathered.
     """
-    first = records.groupBy(request).agg(F.min(F.struct("scheduled_departure", "airport_origin")).alias("f"))
+    first = records.groupBy(request).agg(F.min(F.struct(F.col("scheduled_departure").isNull().alias("untimed"), "scheduled_departure", "airport_origin")).alias("f"))
     home = first.select(request, F.col("f.airport_origin").alias("home"))
     per_airport = own_side(records.withColumn("request", F.col(request)), "request").groupBy("request", "airport").agg(
         F.count_if(~F.col("departing")).alias("total_global_arrivals_at_airport"),

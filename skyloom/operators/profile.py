@@ -13,10 +13,6 @@ from skyloom.operators.slices import ROWS_PER_SLICE, fill_both_ways
 FLOATS = ("double", "float")
 
 
-def _numeric(kind: str) -> bool:
-    return kind in ("double", "float", "int", "bigint", "smallint", "tinyint") or kind.startswith("decimal")
-
-
 def _missing(df: DataFrame, name: str) -> Column:
     c = F.col(f"`{name}`")
     return c.isNull() | F.isnan(c) if dict(df.dtypes)[name] in FLOATS else c.isNull()

@@ -94,18 +94,6 @@ RAW_WEATHER = _layout(
     weather_code=INT,
 )
 
-CONGESTION = StructType(
-    [
-        StructField("flight_date", TEXT),
-        StructField("airport", TEXT),
-        StructField("nombre_departs", INT),
-        StructField("nombre_arrivees", INT),
-        StructField("somme_depart_arrivee", INT),
-        StructField("pourcentage_ecart_moyenne", REAL),
-        StructField("congestion", INT),
-    ]
-)
-
 ARTICLE = _layout(title=TEXT, link=TEXT, pub_date=MOMENT, description=TEXT, source=TEXT)
 
 REQUEST = _layout(
