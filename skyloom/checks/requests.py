@@ -14,6 +14,7 @@ from skyloom.operators.matching import codeshare_only, match, matches_number
 from skyloom.plans import scoring as sc
 from skyloom.plans import training as tr
 from skyloom.functions.text import valid_request
+from skyloom.functions.values import risk_band
 from skyloom.session import shared_folder
 from skyloom.streaming import requests as rs
 
@@ -150,12 +151,18 @@ def _scored(t: Tables, answers: DataFrame, models) -> DataFrame:
     return sc.predictions(rows, ["request_id", "outcome"], classifier[0], classifier[1], regressor[0], regressor[1], "matched")
 
 
-@query("score_requests")
+@query("score_requests", f"with {SQL_MATCH} select request_id, status as outcome, matched_flight_number is not null as scored, true as sound from matched")
 def score_requests(t: Tables) -> DataFrame:
-    """Every order's request matched, its flight scored by both models; unmatched ones have no score."""
+    """Every order's request matched and its flight scored by both models; those without a flight have no score.
+
+    A score is sound when the probability and the minutes are in their ranges and flag and band follow from them.
+    """
     classifier = fitted(t, tr.boosted_classifier(), ft.TARGET)[:2]
     regressor = fitted(t, tr.boosted_regressor(), None)[:2]
-    return _scored(t, match(requests(t), flights(t), ORDER), (classifier, regressor))
+    found = _scored(t, match(requests(t), flights(t), ORDER), (classifier, regressor))
+    minutes = F.col("predicted_arrival_delay_minutes")
+    sound = F.col("delay_probability").between(0, 1) & (minutes >= 0) & (F.col("is_delayed") == (F.col("delay_probability") > 0.5)) & (F.col("risk") == risk_band(minutes))
+    return found.select("request_id", "outcome", F.col("delay_probability").isNotNull().alias("scored"), F.coalesce(sound, F.lit(True)).alias("sound"))
 
 
 @query("request_stream", f"with {SQL_MATCH} select *, error_code is null as answered from matched")
