@@ -56,6 +56,25 @@ def test_against_brute_force(spark, monkeypatch, window, block):
     assert all(r["kept"] == (r["vec_id"] is None or r["vec_id"] == r["component_id"]) for r in result)
 
 
+def star(spread, copies, dims, rng):
+    base = rng.standard_normal(dims)
+    base /= np.linalg.norm(base)
+    off = rng.standard_normal((copies, dims))
+    off -= np.outer(off @ base, base)
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    return [base.tolist()] + (spread * base + np.sqrt(1 - spread**2) * off).tolist()
+
+
+@pytest.mark.parametrize("spread", [0.985, 0.9893])
+def test_star_and_dense_topic_against_brute_force(spark, spread):
+    """A base all copies link to but none of which link to each other; and a topic in which pairs lie around the threshold."""
+    rng = np.random.default_rng(8)
+    rows = [(i, v, label) for label in (1, 2) for i, v in enumerate(star(spread, 600, 256, rng), 10_000 * label)]
+    rows += [(30_000 + i, v, 1) for i, v in enumerate(rng.standard_normal((200, 256)).tolist())]
+    result = found(spark, rows)
+    assert sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"])) for r in result) == brute(rows)
+
+
 def test_empty_table(spark):
     assert found(spark, []) == []
 
