@@ -18,9 +18,13 @@ CHUNK = 2_000_000
 MAX_LANGUAGES = 512
 
 
+def _data(text: str) -> np.ndarray:
+    return np.frombuffer(b" " + text.lower().encode("utf-8", "surrogatepass").translate(LETTERS) + b" ", np.uint8)
+
+
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of the byte trigram around each letter byte, and where words start among them."""
-    data = np.frombuffer(b" " + text.lower().encode("utf-8", "surrogatepass").translate(LETTERS) + b" ", np.uint8).astype(np.uint32)
+    data = _data(text).astype(np.uint32)
     code = (data[:-2] << 16) | (data[1:-1] << 8) | data[2:]
     letter = data[1:-1] != 32
     starts = letter & (data[:-2] == 32)
@@ -28,9 +32,17 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     return bucket, np.flatnonzero(starts[letter])
 
 
+def byte_counts(text: str) -> np.ndarray:
+    """How often each byte occurs in the trigrams of a text."""
+    data = _data(text)
+    letter = data[1:-1] != 32
+    return sum(np.bincount(part[letter], minlength=256) for part in (data[:-2], data[1:-1], data[2:]))
+
+
 def train(labelled: DataFrame, smoothing: float = 0.5) -> "Model":
     """Trigram log-likelihoods of each language from all rows of (text, lang); null values are left out.
 
+    Bytes are counted along with trigrams, for the background model of letters in no order.
     Counts are added up within a task, then by Spark. The model has ``BUCKETS`` numbers a language; more than
     ``MAX_LANGUAGES`` languages are refused, so what is sent to tasks stays bounded.
     """
@@ -39,9 +51,10 @@ def train(labelled: DataFrame, smoothing: float = 0.5) -> "Model":
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(batch.column("text"), batch.column("lang")):
-                own = counts.setdefault(lang.as_py(), np.zeros(BUCKETS, np.int64))
+                own = counts.setdefault(lang.as_py(), np.zeros(BUCKETS + 256, np.int64))
                 bucket, _ = grams(text.as_py())
-                own += np.bincount(bucket, minlength=BUCKETS)
+                own[:BUCKETS] += np.bincount(bucket, minlength=BUCKETS)
+                own[BUCKETS:] += byte_counts(text.as_py())
         for lang, own in counts.items():
             seen = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen)), pa.array(seen, pa.int32()), pa.array(own[seen])], ["lang", "bucket", "n"])
@@ -53,18 +66,31 @@ def train(labelled: DataFrame, smoothing: float = 0.5) -> "Model":
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages.sort()
     table = counted.toArrow().to_pydict()
-    counts = np.full((len(languages), BUCKETS), smoothing)
+    counts = np.full((len(languages), BUCKETS + 256), smoothing)
     place = {lang: i for i, lang in enumerate(languages)}
     np.add.at(counts, (np.array([place[x] for x in table["lang"]], np.int64), np.array(table["bucket"], np.int64)), np.array(table["n"], float))
+    counts, bytes_ = counts[:, :BUCKETS], counts[:, BUCKETS:].sum(axis=0)
     scores = np.log(counts / counts.sum(axis=1, keepdims=True)) if languages else counts
-    return Model(languages, np.ascontiguousarray(scores.T, np.float32))
+    # Half of it is even over the bytes seen, so that rare letters alone do not speak for a language.
+    seen = bytes_ > bytes_.min()
+    background = np.log(bytes_ / bytes_.sum() / 2 + np.where(seen, 0.5 / max(seen.sum(), 1), 0)) if languages else bytes_
+    return Model(languages, np.ascontiguousarray(scores.T, np.float32), background)
 
 
 class Model:
-    """Log-likelihood of each trigram bucket under each language."""
+    """Log-likelihood of each trigram bucket under each language, and of each byte in a background without order."""
+
+    def __init__(self, languages: list[str], scores: np.ndarray, background: np.ndarray):
+        self.languages, self.scores, self.background = languages, scores, background
 
-    def __init__(self, languages: list[str], scores: np.ndarray):
-        self.languages, self.scores = languages, scores
+    def evidence(self, words: np.ndarray, shares: np.ndarray, counts: np.ndarray) -> float:
+        """Log-likelihood of a text's words under a mixture less that of its bytes (``byte_counts``) in no order, for each trigram."""
+        used = np.flatnonzero(shares > 0)
+        if len(used):
+            fit = np.logaddexp.reduce(words[:, used] + np.log(shares[used]), axis=1).sum(dtype=np.float64)
+        else:
+            fit = words.sum(axis=0, dtype=np.float64).max()
+        return float((fit - counts @ self.background) / (counts.sum() / 3))
 
     def words(self, text: str) -> np.ndarray:
         """Log-likelihood of each word of a text (rows) under each language."""
@@ -123,11 +149,13 @@ class Model:
 
 
 def identify(docs: DataFrame, model: Model, rounds: int = 8, penalty: float = 4.0, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row per document: ``columns``, lang_pred, score, languages (those selected, with their proportions).
+    """One row per document: ``columns``, lang_pred, score, languages (those selected, with their proportions), evidence.
 
     lang_pred is the language with the largest proportion, the first by name among equals. score is its proportion
-    times the certainty that it, rather than another single language, made the text; 0 to 1. A text that is null or has no
-    letter is ``und`` with score 0 and no languages, as is every text when nothing was learned. Texts are read whole. Repeated rows and null ids
+    times the certainty that it, rather than another single language, made the text; 0 to 1. evidence says, however many languages
+    are mixed, how much better they explain the words than the same letters in no order do, in nats a trigram; 0 or less
+    means no learned language. A text that is null or has no
+    letter is ``und`` with score and evidence 0 and no languages, as is every text when nothing was learned. Texts are read whole. Repeated rows and null ids
     stay as they are; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -138,14 +166,14 @@ def identify(docs: DataFrame, model: Model, rounds: int = 8, penalty: float = 4.
         model = shared.value
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            result: list = [(UNKNOWN, 0.0, {})] * len(texts)
+            result: list = [(UNKNOWN, 0.0, {}, 0.0)] * len(texts)
             held, places, size = [], [], 0
 
             def settle():
-                for place, (shares, certain) in zip(places, model.mixtures(held, rounds, penalty)):
+                for place, words, (shares, certain) in zip(places, held, model.mixtures(held, rounds, penalty)):
                     lang = int(shares.argmax())
                     kept = {model.languages[i]: float(shares[i]) for i in np.argsort(-shares, kind="stable") if shares[i] > 1e-4}
-                    result[place] = (model.languages[lang], min(1.0, float(shares[lang]) * float(certain)), kept)
+                    result[place] = (model.languages[lang], min(1.0, float(shares[lang]) * float(certain)), kept, model.evidence(words, shares, byte_counts(texts[place])))
 
             for place, text in enumerate(texts):
                 if text is None or not model.languages or not LETTER.search(text):
@@ -160,10 +188,10 @@ def identify(docs: DataFrame, model: Model, rounds: int = 8, penalty: float = 4.
                     held, places, size = [], [], 0
             if held:
                 settle()
-            lang, score, shares = zip(*result) if result else ((), (), ())
+            lang, score, shares, evidence = zip(*result) if result else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array([list(s.items()) for s in shares], pa.map_(pa.string(), pa.float64()))],
-                [*columns, "lang_pred", "score", "languages"],
+                [*(batch.column(c) for c in columns), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array([list(s.items()) for s in shares], pa.map_(pa.string(), pa.float64())), pa.array(evidence, pa.float64())],
+                [*columns, "lang_pred", "score", "languages", "evidence"],
             )
 
-    return held.mapInArrow(run, f"{kinds}, lang_pred string, score double, languages map<string,double>")
+    return held.mapInArrow(run, f"{kinds}, lang_pred string, score double, languages map<string,double>, evidence double")

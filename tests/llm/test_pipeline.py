@@ -44,6 +44,19 @@ def test_stages(spark, tmp_path):
     assert sorted(map(str, again.collect())) == sorted(map(str, docs.collect()))
 
 
+def test_language_stage_keeps_mixed_languages_and_drops_made_up_strings(spark):
+    rng = random.Random(2)
+    syllables = {"aa": ["ka", "lo", "mi", "ten"], "bb": ["xu", "ze", "wy", "bor"], "cc": ["\u00f1o", "\u00e9r", "t\u00fc", "gan"], "dd": ["phi", "qua", "sed", "vo"]}
+    words = lambda lang, n: " ".join("".join(rng.choice(syllables[lang]) for _ in range(rng.randint(2, 4))) for _ in range(n))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, words(lang, 100), lang) for i, lang in enumerate(list(syllables) * 60)]
+    rows += [(1000 + k, " ".join(words(lang, 60) for lang in mixed), "aa") for k, mixed in enumerate((["aa", "bb", "cc"], list(syllables)))]
+    rows += [(2000 + k, " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(100)), "bb") for k in range(3)]
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t), "clash") for i, t, lang in rows], DOCS)
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [r[0] for r in rows if r[0] < 2000]
+
+
 def test_empty_corpus(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
