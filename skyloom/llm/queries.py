@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm import decontaminate, embeddings, language, mixing, quality, simhash, suffix_array, token_counts, url_filter, warc
+from skyloom.llm import decontaminate, embeddings, language, mixing, periodic_runs, quality, simhash, suffix_array, token_counts, url_filter, warc
 from skyloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,10 @@ def warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
         "record_id", "record_type", "refers_to", "target_uri", "date", "content_type", F.length("content").cast("long").alias("content_length"),
         F.col("headers")["WARC-Block-Digest"].alias("block_digest"), F.col("headers")["WARC-Source-Payload-Digest"].alias("payload_digest"), F.col("content").cast("string").alias("content"),
     )
+
+
+@query("op12_periodic_runs")
+def periodic_word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of words of every whole document that repeat a block at least four times, and the text with each run cut to one block."""
+    found = periodic_runs.periodic_runs(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
