@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm import decontaminate, embeddings, language, mixing, periodic_runs, quality, simhash, suffix_array, token_counts, url_filter, warc
+from skyloom.llm import decontaminate, embeddings, language, mixing, packing, periodic_runs, quality, simhash, suffix_array, token_counts, url_filter, warc
 from skyloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,10 @@ def periodic_word_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of words of every whole document that repeat a block at least four times, and the text with each run cut to one block."""
     found = periodic_runs.periodic_runs(table(spark, folder, "documents"))
     return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+@query("op13_best_fit_packing")
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens and separator, cut to 2,048 only where longer, packed into as few sequences of 2,048 as the search finds."""
+    found = packing.pack(table(spark, folder, "documents"))
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
