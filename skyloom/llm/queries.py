@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm import decontaminate, embeddings, language, mixing, packing, periodic_runs, quality, simhash, suffix_array, token_counts, url_filter, warc
+from skyloom.llm import decontaminate, embeddings, language, mixing, packing, periodic_runs, quality, simhash, spelling, suffix_array, token_counts, url_filter, warc
 from skyloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,9 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's tokens and separator, cut to 2,048 only where longer, packed into as few sequences of 2,048 as the search finds."""
     found = packing.pack(table(spark, folder, "documents"))
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op11_spelling_variants")
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of seven or more letters seen twice or more, with its near words and the common form it varies."""
+    return spelling.spelling_variants(table(spark, folder, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
