@@ -57,49 +57,64 @@ def planted(words: list[str], h) -> list[str]:
 
 
 class Extension:
-    """Longest common extensions between places of one word sequence, by two polynomial prefix hashes, confirmed word by word."""
+    """Longest common extensions between places of one word sequence, by two polynomial prefix sums, confirmed word by word.
+
+    S[t] = sum of v[u] * B^u over u < t (mod P); words i .. i+l-1 equal j .. j+l-1 (i < j) when
+    (S[i+l] - S[i]) * B^(j-i) = S[j+l] - S[j] for both moduli. All sums and powers are built with numpy.
+    """
 
     def __init__(self, ids: np.ndarray):
-        self.ids = ids
-        n = len(ids)
-        self.n = n
-        self.pa, self.pb = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
-        self.wa, self.wb = np.ones(n + 1, np.int64), np.ones(n + 1, np.int64)
-        va, vb = (ids % MOD_A) + 1, (ids % MOD_B) + 1
-        ha = hb = 0
-        pa, pb, wa, wb = self.pa, self.pb, self.wa, self.wb
-        for i in range(n):
-            ha, hb = (ha * BASE_A + int(va[i])) % MOD_A, (hb * BASE_B + int(vb[i])) % MOD_B
-            pa[i + 1], pb[i + 1] = ha, hb
-            wa[i + 1], wb[i + 1] = wa[i] * BASE_A % MOD_A, wb[i] * BASE_B % MOD_B
-
-    def _hash(self, start: np.ndarray, length: np.ndarray):
-        end = start + length
-        a = (self.pa[end] - self.pa[start] * self.wa[length] % MOD_A) % MOD_A
-        b = (self.pb[end] - self.pb[start] * self.wb[length] % MOD_B) % MOD_B
-        return a, b
+        self.n = len(ids)
+        self.sums, self.powers = [], []
+        for mod, base in ((MOD_A, BASE_A), (MOD_B, BASE_B)):
+            power = powers_of(base, mod, self.n + 1)
+            terms = ((ids % mod) + 1) * power[: self.n] % mod
+            self.sums.append(np.concatenate([[0], np.cumsum(terms) % mod]))
+            self.powers.append(power)
+
+    def same(self, i: np.ndarray, j: np.ndarray, length: np.ndarray) -> np.ndarray:
+        equal = np.ones(len(i), bool)
+        for (mod, _), sums, power in zip(((MOD_A, BASE_A), (MOD_B, BASE_B)), self.sums, self.powers):
+            left = (sums[i + length] - sums[i]) % mod * power[j - i] % mod
+            right = (sums[j + length] - sums[j]) % mod
+            equal &= left == right
+        return equal
 
     def forward(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Largest l with words i .. i+l-1 equal to j .. j+l-1 (i < j), for arrays of places."""
         low, high = np.zeros_like(i), self.n - np.maximum(i, j)
-        while np.any(low < high):
-            mid = (low + high + 1) // 2
-            a1, b1 = self._hash(i, mid)
-            a2, b2 = self._hash(j, mid)
-            same = (a1 == a2) & (b1 == b2)
-            low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-        return low
+        while True:
+            open_ = np.nonzero(low < high)[0]
+            if len(open_) == 0:
+                return low
+            mid = (low[open_] + high[open_] + 1) // 2
+            ok = self.same(i[open_], j[open_], mid)
+            low[open_] = np.where(ok, mid, low[open_])
+            high[open_] = np.where(ok, high[open_], mid - 1)
 
     def backward(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Largest l with words i-l .. i-1 equal to j-l .. j-1 (i < j)."""
         low, high = np.zeros_like(i), np.minimum(i, j)
-        while np.any(low < high):
-            mid = (low + high + 1) // 2
-            a1, b1 = self._hash(i - mid, mid)
-            a2, b2 = self._hash(j - mid, mid)
-            same = (a1 == a2) & (b1 == b2)
-            low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-        return low
+        while True:
+            open_ = np.nonzero(low < high)[0]
+            if len(open_) == 0:
+                return low
+            mid = (low[open_] + high[open_] + 1) // 2
+            ok = self.same(i[open_] - mid, j[open_] - mid, mid)
+            low[open_] = np.where(ok, mid, low[open_])
+            high[open_] = np.where(ok, high[open_], mid - 1)
+
+
+def powers_of(base: int, mod: int, count: int) -> np.ndarray:
+    """base^0 .. base^(count-1) mod ``mod``, by doubling blocks."""
+    power = np.ones(max(count, 1), np.int64)
+    size, step = 1, base % mod
+    while size < count:
+        take = min(size, count - size)
+        power[size:size + take] = power[:take] * step % mod
+        size += take
+        step = step * step % mod
+    return power[:count]
 
 
 def prime_factors(q: int) -> list[int]:
@@ -122,27 +137,37 @@ def runs_of(ids: np.ndarray) -> list[tuple[int, int, int]]:
     n = len(ids)
     if n < SHORTEST:
         return []
-    ext = Extension(ids)
-    found: set[tuple[int, int, int]] = set()
+    places, periods = [], []
     k = 0
     while (1 << k) * LEAST_EXPONENT <= n:
         block = 1 << k
-        periods = np.arange(block, min(2 * block, n // LEAST_EXPONENT + 1))
-        if len(periods):
-            bounds = np.arange(0, n, block)
-            s, q = np.meshgrid(bounds, periods, indexing="ij")
+        qs = np.arange(block, min(2 * block, n // LEAST_EXPONENT + 1))
+        if len(qs):
+            s, q = np.meshgrid(np.arange(0, n, block), qs, indexing="ij")
             s, q = s.ravel(), q.ravel()
             inside = s + q < n
             s, q = s[inside], q[inside]
             caught = ids[s] == ids[s + q]
-            s, q = s[caught], q[caught]
-            if len(s):
-                right = ext.forward(s, s + q)
-                left = ext.backward(s, s + q)
-                start, length = s - left, left + right + q
-                keep = length >= np.maximum(SHORTEST, LEAST_EXPONENT * q)
-                found.update(zip(start[keep].tolist(), length[keep].tolist(), q[keep].tolist()))
+            places.append(s[caught])
+            periods.append(q[caught])
         k += 1
+    found: set[tuple[int, int, int]] = set()
+    if places:
+        s, q = np.concatenate(places), np.concatenate(periods)
+        # a stretch of period q needs 3q matches (and 6 - q): drop catches whose neighbours already differ
+        after = s + 1 + q < n
+        nxt = np.zeros(len(s), bool)
+        nxt[after] = ids[s[after] + 1] == ids[s[after] + 1 + q[after]]
+        before = s > 0
+        prv = np.zeros(len(s), bool)
+        prv[before] = ids[s[before] - 1] == ids[s[before] - 1 + q[before]]
+        s, q = s[nxt | prv], q[nxt | prv]
+        if len(s):
+            ext = Extension(ids)
+            right, left = ext.forward(s, s + q), ext.backward(s, s + q)
+            start, length = s - left, left + right + q
+            keep = length >= np.maximum(SHORTEST, LEAST_EXPONENT * q)
+            found.update(zip(start[keep].tolist(), length[keep].tolist(), q[keep].tolist()))
     runs = []
     for start, length, q in found:
         end = start + length
@@ -172,11 +197,8 @@ def exact_stretch(ids: np.ndarray, place: int, q: int) -> tuple[int, int]:
 def describe(h, text) -> dict:
     """The runs of one document (h: its ``plant_key``) and what stays when each run keeps only its first period."""
     words = planted(WORD.findall(text) if isinstance(text, str) else [], h)
-    if words:
-        _, inverse = np.unique(np.array(words, dtype=object).astype(str), return_inverse=True)
-        ids = inverse.astype(np.int64)
-    else:
-        ids = np.zeros(0, np.int64)
+    index: dict[str, int] = {}
+    ids = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
     runs = runs_of(ids)
     dropped = np.zeros(len(words) + 1, np.int64)
     for start, length, q in runs:
