@@ -16,6 +16,7 @@ other; each group is packed in one task. A group leaves at most one sequence les
 
 from __future__ import annotations
 
+import os
 import sys
 import zlib
 from collections.abc import Iterator
@@ -29,9 +30,11 @@ from skyloom.llm.common import Aside, Store
 TOKENIZER_FILE = "word_bpe_49k.json"
 CAPACITY = 2048
 SEPARATOR = 0
+ENCODE_AT_ONCE = 32
 
 
 def tokenizer_of(name: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task, as Spark counts
     import public_tokenizers
     from tokenizers import Tokenizer
 
@@ -129,12 +132,15 @@ def tokenised(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, capacity: i
         tokenizer = tokenizer_of(tokenizer_file)
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            encoded = tokenizer.encode_batch(texts, add_special_tokens=False)
             rows, cuts = [], []
-            for row, found in enumerate(encoded):
-                for cut in pieces_of(found.ids + [SEPARATOR], capacity):
-                    rows.append(row)
-                    cuts.append(cut)
+            for first in range(0, len(texts), ENCODE_AT_ONCE):
+                # encodings hold offsets and token strings too: only a few live at a time, their ids kept
+                encoded = tokenizer.encode_batch(texts[first:first + ENCODE_AT_ONCE], add_special_tokens=False)
+                for row, found in enumerate(encoded, first):
+                    for cut in pieces_of(found.ids + [SEPARATOR], capacity):
+                        rows.append(row)
+                        cuts.append(cut)
+                del encoded
             out = batch.iloc[rows, :width].reset_index(drop=True)
             yield pd.concat([out, pd.DataFrame(cuts, columns=["piece", "start", "length", "ids_crc32"])], axis=1)
 
