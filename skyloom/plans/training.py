@@ -10,14 +10,15 @@ from typing import Any
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from skyloom.operators import features as ft
 from skyloom.operators import metrics as mt
+from skyloom.session import stored
 
 # Search spaces in terms of the Spark learners' parameters.
 CLASSIFIER_SPACE = {
@@ -198,6 +199,130 @@ def search(
     return PipelineModel(stages=[vectors, fitted.bestModel]), table
 
 
+def prepare(
+    train: DataFrame,
+    features: Sequence[str],
+    keys: Sequence[str],
+    label: str,
+    fold_count: int = 5,
+    seed: int = 42,
+    stratify: bool = True,
+    bins: int = 32,
+) -> DataFrame:
+    """Folds and binned feature vectors, computed once and stored; every fit of a search or a fold report reads them.
+
+    Each feature becomes the number of its quantile bin (``bins`` bins, cut points from one pass over all rows, the
+    bins the learners would draw themselves with maxBins = ``bins``); the vector of bins is kept beside ``keys``,
+    the label and the fold (equal folds within each label when ``stratify``). Missing values must be filled before
+    (``Encoding.apply``); a NaN would get a bin of its own.
+    """
+    parts = ft.folds(train.select(*keys, label, *features), keys, fold_count, seed, label if stratify else None)
+    binned_names = [f"bin_{i}" for i in range(len(features))]
+    discretizer = QuantileDiscretizer(
+        inputCols=list(features), outputCols=binned_names, numBuckets=bins, handleInvalid="keep", relativeError=1 / (4 * bins)
+    )
+    binned = discretizer.fit(parts).transform(parts)
+    vectors = VectorAssembler(inputCols=binned_names, outputCol="features").transform(binned)
+    return stored(vectors.select(*keys, label, "fold", "features"))
+
+
+def search_prepared(
+    prepared: DataFrame,
+    learner,
+    space: Mapping[str, Sequence[Any]],
+    count: int = 20,
+    seed: int = 42,
+    parallelism: int = 4,
+):
+    """Random search over stored folds and vectors; returns the best model, refitted on all rows, and one row per setting.
+
+    Settings are ``count`` seeded draws of the space; each is fitted once per fold on the other folds. Classifiers are
+    judged by F1 of class 1, regressors by mean absolute error (lower is better). ``chosen`` marks the best setting,
+    the first drawn among equals.
+    """
+    label = learner.getLabelCol()
+    settings = draws(space, count, seed)
+    grids = [ParamGridBuilder().baseOn(*[(learner.getParam(n), v) for n, v in s.items()]).build()[0] for s in settings]
+    classify = learner.hasParam("rawPredictionCol")
+    evaluator = (
+        MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
+        if classify
+        else RegressionEvaluator(labelCol=label, metricName="mae")
+    )
+    folds = prepared.select("fold").distinct().count()  # one row per fold
+    validator = CrossValidator(
+        estimator=learner, estimatorParamMaps=grids, evaluator=evaluator, numFolds=folds, foldCol="fold", seed=seed, parallelism=parallelism
+    )
+    fitted = validator.fit(prepared)
+    scores = list(fitted.avgMetrics)
+    best = max(range(len(scores)), key=lambda i: (scores[i] if classify else -scores[i], -i))
+    rows = [(i, params_text(s), float(m), float(d), i == best) for i, (s, m, d) in enumerate(zip(settings, scores, fitted.stdMetrics))]
+    table = prepared.sparkSession.createDataFrame(rows, "setting int, params string, score double, score_std double, chosen boolean")
+    return fitted.bestModel, table
+
+
+def params_text(setting: Mapping[str, Any]) -> str:
+    """A setting as ``name=value`` pairs in name order, joined by ``;``."""
+    return ";".join(f"{k}={setting[k]}" for k in sorted(setting))
+
+
+def out_of_fold(prepared: DataFrame, learner, keys: Sequence[str]) -> DataFrame:
+    """Each row's prediction by the model fitted on the other folds; one table, stored once, written by all fold models.
+
+    Columns: ``keys``, fold, label (as int), prediction, probability of class 1.
+    """
+    label = learner.getLabelCol()
+    folds = [r["fold"] for r in prepared.select("fold").distinct().orderBy("fold").collect()]  # one row per fold
+    parts = []
+    for fold in folds:
+        model = learner.fit(prepared.where(F.col("fold") != fold))
+        held = model.transform(prepared.where(F.col("fold") == fold))
+        parts.append(held.select(*keys, "fold", F.col(label).cast("int").alias("label"), "prediction",
+                                 vector_to_array("probability")[1].alias("probability")))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return stored(whole)
+
+
+FOLD_METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc"]
+
+
+def fold_report(predictions: DataFrame) -> DataFrame:
+    """Accuracy, precision, recall, F1 (class 1) and exact ROC AUC of each fold, then their mean and deviation.
+
+    Rows are reduced to one per (fold, probability, prediction) with the counts of both labels; a running count of
+    negatives below each score (window per fold over those groups only) gives the AUC, and one aggregate by fold
+    gives all metrics. Returns ``metric, mean, std`` (population deviation over folds).
+    """
+    pos, neg = F.count_if(F.col("label") == 1), F.count_if(F.col("label") != 1)
+    groups = predictions.groupBy("fold", F.col("probability").alias("s"), (F.col("prediction") == 1).alias("said")).agg(
+        pos.alias("pos"), neg.alias("neg")
+    )
+    scores = groups.groupBy("fold", "s").agg(F.sum("pos").alias("s_pos"), F.sum("neg").alias("s_neg"))
+    below = Window.partitionBy("fold").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = scores.withColumn("neg_below", F.coalesce(F.sum("s_neg").over(below), F.lit(0)))
+    won = ranked.groupBy("fold").agg(
+        F.sum(F.col("s_pos").cast("double") * (F.col("neg_below") + F.col("s_neg") / 2)).alias("won")
+    )
+    c = F.col
+    counts = groups.groupBy("fold").agg(
+        F.sum(F.when(c("said"), c("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(c("said"), c("neg")).otherwise(0)).alias("fp"),
+        F.sum(F.when(~c("said"), c("pos")).otherwise(0)).alias("fn"),
+        F.sum(F.when(~c("said"), c("neg")).otherwise(0)).alias("tn"),
+    )
+    per_fold = counts.join(won, "fold").select(
+        "fold",
+        mt.ratio(c("tp") + c("tn"), c("tp") + c("tn") + c("fp") + c("fn")).alias("accuracy"),
+        mt.ratio(c("tp"), c("tp") + c("fp")).alias("precision"),
+        mt.ratio(c("tp"), c("tp") + c("fn")).alias("recall"),
+        mt.ratio(2 * c("tp"), 2 * c("tp") + c("fp") + c("fn")).alias("f1"),
+        (c("won") / F.nullif((c("tp") + c("fn")).cast("double") * (c("fp") + c("tn")), F.lit(0.0))).alias("roc_auc"),
+    )
+    return mt.across_folds(per_fold, FOLD_METRICS)
+
+
 def scored(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
     """``label, prediction, probability`` of a classifier's rows."""
     return model.transform(df).select(

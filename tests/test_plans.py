@@ -253,6 +253,57 @@ def test_search_and_folds(spark, history_table):
     assert {r["metric"] for r in spread.collect()} == {"accuracy", "roc_auc"}
 
 
+def brute_fold_report(rows):
+    """Per-fold metrics by plain loops, then their mean and population deviation."""
+    import statistics
+
+    per = {}
+    for fold in sorted({r[0] for r in rows}):
+        part = [r for r in rows if r[0] == fold]
+        tp = sum(1 for _, y, p, _s in part if y == 1 and p == 1)
+        fp = sum(1 for _, y, p, _s in part if y == 0 and p == 1)
+        fn = sum(1 for _, y, p, _s in part if y == 1 and p == 0)
+        pos = [s for _, y, _p, s in part if y == 1]
+        neg = [s for _, y, _p, s in part if y == 0]
+        won = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
+        per[fold] = {
+            "accuracy": sum(1 for _, y, p, _s in part if y == p) / len(part), "precision": tp / (tp + fp), "recall": tp / (tp + fn),
+            "f1": 2 * tp / (2 * tp + fp + fn), "roc_auc": won / (len(pos) * len(neg)),
+        }
+    return {m: (statistics.fmean(v[m] for v in per.values()), statistics.pstdev(v[m] for v in per.values())) for m in training.FOLD_METRICS}
+
+
+def test_fold_report_equals_loops(spark):
+    import random
+
+    rng = random.Random(9)
+    rows = [(f, y, int(s > 0.5), s) for f in range(3) for y, s in ((rng.random() < 0.4, round(rng.random(), 1)) for _ in range(80))]
+    rows = [(f, int(y), float(p), s) for f, y, p, s in rows]
+    frame = spark.createDataFrame(rows, "fold int, label int, prediction double, probability double")
+    got = {r["metric"]: (r["mean"], r["std"]) for r in training.fold_report(frame).collect()}
+    want = brute_fold_report(rows)
+    assert got.keys() == want.keys()
+    for m in want:
+        assert got[m] == pytest.approx(want[m], abs=1e-12)
+
+
+def test_prepared_folds_and_bins_are_stored_once(spark):
+    rows = spark.range(400).selectExpr("cast(id as string) as k", "cast(id % 7 = 0 as int) as y", "cast(id as double) as a", "cast(id % 3 as double) as b")
+    prepared = training.prepare(rows, ["a", "b"], ["k"], "y", fold_count=4, bins=8)
+    assert prepared.columns == ["k", "y", "fold", "features"]
+    got = prepared.collect()
+    assert len(got) == 400 and {r["fold"] for r in got} == {0, 1, 2, 3}
+    assert max(r["features"][0] for r in got) <= 8 and len({r["features"][1] for r in got}) == 3
+    pairs = sorted({(int(r["k"]) % 3, r["features"][1]) for r in got})
+    assert [b for _, b in pairs] == sorted(b for _, b in pairs)  # bins keep the order of values
+    sizes = prepared.groupBy("fold", "y").count().collect()
+    assert max(r["count"] for r in sizes if r["y"] == 1) - min(r["count"] for r in sizes if r["y"] == 1) <= 1
+    model, table = training.search_prepared(prepared, training.boosted_classifier(label="y"), {"maxIter": [1, 2], "maxDepth": [2]}, count=2)
+    assert table.count() == 2 and table.where("chosen").count() == 1
+    predictions = training.out_of_fold(prepared, training.boosted_classifier(label="y", maxIter=2, maxDepth=2), ["k"])
+    assert predictions.count() == 400 and predictions.select("k").distinct().count() == 400
+
+
 def test_balanced_weights(spark):
     df = spark.createDataFrame([(1,), (0,), (0,), (0,)], f"{ft.TARGET} int")
     got = training.balanced(df).groupBy(ft.TARGET).agg(F.round(F.sum("weight"), 9).alias("w"))
@@ -290,8 +341,13 @@ def test_stream_answers_each_request_once(spark, tmp_path):
     assert run() == ["a", "b", "c"]
 
 
+NO_TWIN = {"fit_classifier", "fit_forest_classifier", "fit_forest_regressor", "fit_regressor", "model_importance"}
+
+
 def test_registered_queries_have_twins():
     import __spark_entry__ as entry
+    from skyloom import checks
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(checks.QUERIES) - set(checks.SQL) == NO_TWIN
     assert len(entry.queries()) > 70
