@@ -77,3 +77,14 @@ def test_query_equals_brute_force(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert spelling.spelling_variants(docs).count() == 0
+
+
+def test_scan_of_all_queries_equals_one_by_one():
+    rng = random.Random(12)
+    for _ in range(200):
+        alphabet = "abcé"[: rng.randint(1, 4)]
+        words = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(0, 7))) for _ in range(rng.randint(1, 40))})
+        want = sorted((a, b) for a in words for b in words if a < b and distance(a, b) == 1)
+        assert sorted(spelling.near_in_group(words, None)) == want
+    groups = [(["abcdefgh", "abcdefgx", "abcdefghi"], 8), (["abcdefgh", "abcdefgx"], None), ([], None)]
+    assert sorted(spelling.near_in_groups(groups)) == [("abcdefgh", "abcdefghi"), ("abcdefgh", "abcdefgx"), ("abcdefgh", "abcdefgx")]
