@@ -16,6 +16,7 @@ other; each group is packed in one task. A group leaves at most one sequence les
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 import zlib
@@ -31,15 +32,26 @@ TOKENIZER_FILE = "word_bpe_49k.json"
 CAPACITY = 2048
 SEPARATOR = 0
 ENCODE_AT_ONCE = 32
+CACHE_WORDS = 500_000
 
 
-def tokenizer_of(name: str):
+def tokenizer_of(name: str, cache_words: int = CACHE_WORDS):
+    """The tokenizer of a public vocabulary file; a BPE model gets a word cache of ``cache_words`` entries
+    (rebuilt from the file's own vocabulary and merges, so the ids are the same; the library's default is 10,000)."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task, as Spark counts
     import public_tokenizers
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, models
 
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    path = public_tokenizers.path(name)
+    tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # the strings of special tokens in a text are ordinary text
+    with open(path, encoding="utf-8") as handle:
+        spec = json.load(handle)["model"]
+    if spec.get("type") == "BPE" and not spec.get("dropout"):
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["merges"]]
+        given = {k: spec[k] for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+                 if spec.get(k) is not None}
+        tokenizer.model = models.BPE(spec["vocab"], merges, cache_capacity=cache_words, **given)
     return tokenizer
 
 
@@ -126,7 +138,8 @@ PIECES = "piece int, start long, length long, ids_crc32 long"
 def tokenised(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: the document's ids (null text: empty) and a separator id 0, cut into pieces of ``capacity``."""
     aside = Aside(docs)
-    width = len(aside.names)
+    kept = [i for i, n in enumerate(aside.names) if n != "text"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in aside.df.schema.fields if f.name != "text")
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = tokenizer_of(tokenizer_file)
@@ -141,10 +154,10 @@ def tokenised(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, capacity: i
                         rows.append(row)
                         cuts.append(cut)
                 del encoded
-            out = batch.iloc[rows, :width].reset_index(drop=True)
+            out = batch.iloc[rows, kept].reset_index(drop=True)
             yield pd.concat([out, pd.DataFrame(cuts, columns=["piece", "start", "length", "ids_crc32"])], axis=1)
 
-    return aside, aside.df.mapInPandas(each, f"{aside.schema()}, {PIECES}")
+    return aside, aside.df.mapInPandas(each, f"{schema}, {PIECES}")
 
 
 def pack(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, capacity: int = CAPACITY,
@@ -154,7 +167,8 @@ def pack(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, capacity: int =
     A document's tokens (``tokenizer_file`` read by ``public_tokenizers.path``, no special tokens added, their
     strings taken as text) end with id 0; a null or empty text is that one id. Documents longer than ``capacity``
     are cut into pieces of ``capacity`` tokens, the last one shorter; nothing else is cut. Every row is a document,
-    repeated rows and null ids included, so each has its own pieces. Sequences hold at most ``capacity`` tokens,
+    repeated rows and null ids included, so each has its own pieces; the text itself is not repeated on its pieces
+    (every column but ``text`` is). Sequences hold at most ``capacity`` tokens,
     offsets run gapless from 0 in each, and ``sequence_id`` numbers are unique (negative for full pieces, which
     are sequences alone). Other columns ride along, also when their names clash (renamed aside and back).
     Ties between equal sizes go by stored row order, so a rerun over the same stored table gives the same packing.
@@ -177,4 +191,7 @@ def pack(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, capacity: int =
 
     placed = numbered.groupBy("group").applyInPandas(each, "row_key long, sequence_id long, offset long")
     packed = pieces.join(placed, "row_key").unionByName(full)
-    return aside.back(packed, "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    names = [n for n in aside.names if n != "text"]
+    original = [o for o, n in zip(aside.original, aside.names) if n != "text"]
+    more = ["piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    return packed.select(*names, *more).toDF(*original, *more)

@@ -70,22 +70,23 @@ def test_query_rows(spark):
     rows = [(1, "Hello there", "c"), (1, "Hello there", "c"), (2, None, "c"), (3, "", "c"), (None, long_text, "c"), (4, "<|endoftext|> x", "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, sequence_id string")
     result = packing.pack(docs, group_items=3, nodes=100)
-    assert result.columns == ["doc_id", "text", "sequence_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert result.columns == ["doc_id", "sequence_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     found = result.collect()
     texts = {r[0]: r[1] for r in rows}
     by_doc = {}
     for r in found:
         by_doc.setdefault(r[0], []).append(r)
-    assert len(by_doc[1]) == 2 and sorted(r[3] for r in by_doc[None]) == list(range(len(by_doc[None])))
+    assert len(by_doc[1]) == 2 and sorted(r[2] for r in by_doc[None]) == list(range(len(by_doc[None])))
     for doc, pieces in by_doc.items():
         ids = tokenizer.encode(texts[doc] or "", add_special_tokens=False).ids + [0]
         for r in pieces:
+            r = (r[0], None, *r[1:])
             assert r[5] == len(ids[r[4]:r[4] + 2048]) and r[6] == zlib.crc32(np.array(ids[r[4]:r[4] + 2048], "<u4").tobytes())
-    assert {r[5] for r in by_doc[2]} == {1} and {r[5] for r in by_doc[3]} == {1}
+    assert {r[4] for r in by_doc[2]} == {1} and {r[4] for r in by_doc[3]} == {1}
     assert len(by_doc[None]) >= 2
     sequences = {}
     for r in found:
-        sequences.setdefault(r[7], []).append((r[8], r[5]))
+        sequences.setdefault(r[6], []).append((r[7], r[4]))
     for members in sequences.values():
         place = 0
         for o, length in sorted(members):
@@ -97,3 +98,16 @@ def test_query_rows(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(docs).count() == 0
+
+
+def test_cached_model_gives_the_files_ids(data):
+    import pyarrow.parquet as pq
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER_FILE))
+    plain.encode_special_tokens = True
+    cached = packing.tokenizer_of(packing.TOKENIZER_FILE, cache_words=1000)
+    texts = [t or "" for t in pq.read_table(f"{data}/documents.parquet", columns=["text"]).column("text").to_pylist()]
+    texts += ["<|endoftext|> Café  été İstanbul x'll 12 ½", ""]
+    assert [e.ids for e in cached.encode_batch(texts, add_special_tokens=False)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
