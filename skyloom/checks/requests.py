@@ -182,3 +182,65 @@ def request_stream(t: Tables) -> DataFrame:
     )
     job.awaitTermination()
     return rs.read_answers(t.spark, f"{folder}/out")
+
+
+SCORES = ["delay_probability", "predicted_arrival_delay_minutes", "is_delayed", "risk"]
+
+
+@query(
+    "request_stream_models",
+    f"with {SQL_MATCH} select request_id, status as outcome, matched_flight_number is not null as scored, true as same from matched",
+)
+def request_stream_models(t: Tables) -> DataFrame:
+    """The request stream scored by both fitted models, loaded from the shared folder by each batch writer.
+
+    Requests land in two waves of files, one file a batch; a tenth of the ids comes again in the other wave, and the
+    second wave's times reach back before the first's. The second batch fails once half-way through its write; the
+    job is started again on its checkpoint and writes that batch anew. After the second wave lands the job is
+    started a third time. ``same``: the stream's scores equal those of scoring the whole table with the same models.
+    """
+    folder = f"{shared_folder(t.spark)}/stream-models-{uuid.uuid4().hex}"
+    classifier = fitted(t, tr.boosted_classifier(), ft.TARGET)[:2]
+    regressor = fitted(t, tr.boosted_regressor(), None)[:2]
+    rs.save_models(f"{folder}/models", classifier, regressor)
+    asked = requests(t)
+    key = F.col("request_id").cast("long")
+    at = F.timestamp_seconds(F.lit(1767225600) + (key * 7919) % 3000)
+    first = asked.where(key % 2 == 0).unionByName(asked.where(key % 20 == 1))
+    second = asked.where(key % 2 == 1).unionByName(asked.where(key % 20 == 0))
+    marker = f"{folder}/fail-once"
+    t.spark.createDataFrame([(1,)], "x int").write.parquet(marker)
+
+    def score(answers: DataFrame, models) -> DataFrame:
+        found = _scored(t, answers, models)
+        jvm = t.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(marker)
+        system = path.getFileSystem(t.spark._jsc.hadoopConfiguration())
+        if answers.count() and system.exists(path):  # a batch with rows, first attempt: fail while writing
+            system.delete(path, True)
+            return found.withColumn("request_id", F.when(F.col("request_id").cast("long") % 2 == 1, F.raise_error(F.lit("lost in the write"))).otherwise(F.col("request_id")))
+        return found
+
+    def run() -> None:
+        job = rs.answer_stream(
+            rs.read_requests(t.spark, f"{folder}/in", files_per_batch=1), flights(t), ORDER, f"{folder}/out", f"{folder}/state",
+            score=rs.model_scorer(f"{folder}/models", score),
+        )
+        job.awaitTermination()
+
+    first.withColumn(rs.EVENT_TIME, at).repartition(4, "request_id").write.mode("append").json(f"{folder}/in")
+    try:
+        run()
+    except Exception as error:  # the injected failure ends the first start
+        if "lost in the write" not in str(error):
+            raise
+    run()
+    second.withColumn(rs.EVENT_TIME, at - F.expr("INTERVAL 10 MINUTES")).repartition(4, "request_id").write.mode("append").json(f"{folder}/in")
+    run()
+    streamed = rs.read_answers(t.spark, f"{folder}/out")
+    batch = _scored(t, match(requests(t), flights(t), ORDER), rs.load_models(t.spark, f"{folder}/models"))
+    both = streamed.select("request_id", *[F.col(c).alias(f"s_{c}") for c in SCORES]).join(batch, "request_id", "full")
+    same = F.lit(True)
+    for c in SCORES:
+        same = same & F.col(f"s_{c}").eqNullSafe(F.col(c))
+    return both.select("request_id", "outcome", F.col("delay_probability").isNotNull().alias("scored"), same.alias("same"))

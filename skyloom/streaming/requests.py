@@ -69,5 +69,33 @@ def answer_stream(
     )
 
 
+def save_models(folder: str, classifier, regressor) -> None:
+    """Store two fitted (model, encoding) pairs where every batch writer can load them."""
+    from skyloom.plans.training import save_encoding
+
+    for name, (model, encoding) in (("classifier", classifier), ("regressor", regressor)):
+        model.write().overwrite().save(f"{folder}/{name}/model")
+        save_encoding(encoding, f"{folder}/{name}/encoding")
+
+
+def load_models(spark: SparkSession, folder: str):
+    """The two stored (model, encoding) pairs of ``save_models``."""
+    from pyspark.ml import PipelineModel
+
+    from skyloom.plans.training import load_encoding
+
+    return tuple((PipelineModel.load(f"{folder}/{name}/model"), load_encoding(spark, f"{folder}/{name}/encoding")) for name in ("classifier", "regressor"))
+
+
+def model_scorer(folder: str, score: Callable[[DataFrame, tuple], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """A batch scorer that loads the stored models in the batch writer, so that a restarted or replaced job (or
+    models stored anew between batches) is scored by what the folder holds when the batch runs."""
+
+    def scored(answers: DataFrame) -> DataFrame:
+        return score(answers, load_models(answers.sparkSession, folder))
+
+    return scored
+
+
 def read_answers(spark: SparkSession, output: str) -> DataFrame:
     return spark.read.parquet(output).drop("batch")
