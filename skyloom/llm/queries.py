@@ -85,7 +85,7 @@ h as (
   where bad is not null group by all),
 d as (select domain, suffix, sum(n) as n, sum(k) as k from h group by all),
 s as (select suffix, sum(n) as n, sum(k) as k from d group by all),
-m as (select (coalesce(sum(k), 0) + 0.5) / (coalesce(sum(n), 0) + 1) as mean from s),
+tot as (select sum(n) as n, sum(k) as k from s),
 children as (
   select 1 as lvl, '' as parent, n, k from s union all select 2, suffix, n, k from d union all select 3, domain, n, k from h),
 parents as (
@@ -93,19 +93,19 @@ parents as (
 moments as (
   select lvl, sum(kk - n * p * p) as spread, sum(p * (1 - p) * (c - 1)) as expected, sum(p * (1 - p) * (n - nn / n - (c - 1))) as room
   from parents group by lvl),
-rhos as (
-  select lvl, coalesce(case when room > 0 then greatest((spread - expected) / room, 0) end, 0) as rho
-  from (select unnest([1, 2, 3]) as lvl) left join moments using (lvl)),
-st as (select lvl, case when rho * 1000 <= 1 - rho then 1000 else greatest((1 - rho) / rho, 1) end as strength from rhos),
-ms as (
-  select hosts.*, strength as w0, (coalesce(s.k, 0) + strength * mean) / (coalesce(s.n, 0) + strength) as mean
-  from hosts left join s using (suffix), m, (select strength from st where lvl = 1)),
-md as (
-  select ms.host, ms.domain, (coalesce(d.k, 0) + strength * mean) / (coalesce(d.n, 0) + strength) as mean
-  from ms left join d using (domain), (select strength from st where lvl = 2)),
-mh as (
-  select md.host, (coalesce(h.k, 0) + strength * mean) / (coalesce(h.n, 0) + strength) as mean, coalesce(h.n, 0) + strength as weight
-  from md left join h using (host), (select strength from st where lvl = 3)),
+st as (
+  select lvl, case when room > 0 then (case when rho * 1000 <= 1 - rho then 1000 else greatest((1 - rho) / rho, 1) end) else 1 end as strength
+  from (select lvl, room, greatest((spread - expected) / room, 0) as rho from (select unnest([1, 2, 3]) as lvl) left join moments using (lvl))),
+x as (
+  select hosts.host, coalesce(h.n, 0) as nh, coalesce(h.k, 0) as kh, coalesce(d.n, 0) as nd, coalesce(d.k, 0) as kd, coalesce(s.n, 0) as ns, coalesce(s.k, 0) as ks
+  from hosts left join h using (host) left join d on d.domain = hosts.domain left join s on s.suffix = hosts.suffix),
+l0 as (select x.*, tot.n + 1 - ns as w0, (tot.k + 0.5 - ks) / (tot.n + 1 - ns) as m0 from x, tot),
+l1 as (select *, greatest(1 / (1 / (s1 + 1) + 1 / (w0 + 1)) - 1, 1) as p1 from l0, (select strength as s1 from st where lvl = 1)),
+l1b as (select *, ((ks - kd) + p1 * m0) / ((ns - nd) + p1) as m1, (ns - nd) + p1 as w1 from l1),
+l2 as (select *, greatest(1 / (1 / (s2 + 1) + 1 / (w1 + 1)) - 1, 1) as p2 from l1b, (select strength as s2 from st where lvl = 2)),
+l2b as (select *, ((kd - kh) + p2 * m1) / ((nd - nh) + p2) as m2, (nd - nh) + p2 as w2 from l2),
+l3 as (select *, greatest(1 / (1 / (s3 + 1) + 1 / (w2 + 1)) - 1, 1) as p3 from l2b, (select strength as s3 from st where lvl = 3)),
+mh as (select host, (kh + p3 * m2) / (nh + p3) as mean, nh + p3 as weight from l3),
 bounds as (select host, mean - 1.645 * sqrt(mean * (1 - mean) / (weight + 1)) as bound from mh),
 ruled as (
   select *, case

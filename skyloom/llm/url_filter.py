@@ -63,18 +63,30 @@ def _strength(children: DataFrame, parent: str, low: float, high: float) -> floa
         F.sum(F.col("kk") - F.col("n") * p * p).alias("spread"), F.sum(p * (1 - p) * (F.col("c") - 1)).alias("expected"),
         F.sum(p * (1 - p) * (F.col("n") - F.col("nn") / F.col("n") - (F.col("c") - 1))).alias("room"),
     ).first()
-    rho = max((row["spread"] - row["expected"]) / row["room"], 0.0) if row["room"] and row["room"] > 0 else 0.0
+    if not row["room"] or row["room"] <= 0:
+        return low  # no parent with two children: the spread cannot be told, so the prior is weak
+    rho = max((row["spread"] - row["expected"]) / row["room"], 0.0)
     return high if rho * high <= 1 - rho else max((1 - rho) / rho, low)
 
 
+def carried(strength: float, weight: Column, low: float) -> Column:
+    """Prior strength of a child: the beta matching the level's spread (strength s) plus the variance of the
+    parent's estimate (weight w), 1 / (1 / (s + 1) + 1 / (w + 1)) - 1, which is below both; at least ``low``."""
+    return F.greatest(1 / (1 / F.lit(strength + 1.0) + 1 / (weight + 1)) - 1, F.lit(low))
+
+
 def host_bounds(outcomes: DataFrame, hosts: DataFrame, z: float = 1.645, low: float = 1.0, high: float = 1000.0) -> DataFrame:
     """(host, bound): lower bound of the rate of bad pages of every host in ``hosts``.
 
     ``outcomes`` (host, bad 0/1) are labelled pages; null values are ignored. The rate of a suffix is shrunk
-    to the overall rate, that of a registered domain to its suffix, that of a host to its domain. The
-    bound is the mean of the host's beta posterior less ``z`` standard deviations. A host without labelled
-    pages has the rate of the nearest level that has some; with no outcome at all the bound is 0. Only
-    four numbers reach the driver: the overall rate and the prior strength of each level.
+    to the overall rate, that of a registered domain to its suffix, that of a host to its domain. Each prior
+    leaves out the pages of the child it serves (the domain's prior for a host is the domain's estimate from its
+    other hosts), so no page counts twice, and a parent's own uncertainty is carried down (``carried``): a prior
+    never weighs more than the evidence behind it, except for the ``low`` pseudo-pages every level keeps (and
+    the half page each way of the overall rate). A level whose spread cannot be told (no parent with two labelled
+    children) has the weak strength ``low``. The bound is the mean of the host's beta posterior less ``z``
+    standard deviations. With no outcome at all the bound is 0. Only four numbers reach the driver: the overall
+    counts and the strength of each level.
     """
     store = Store(hosts.sparkSession)
     named = {"domain": last_labels(F.col("host"), 2), "suffix": last_labels(F.col("host"), 1)}
@@ -87,16 +99,24 @@ def host_bounds(outcomes: DataFrame, hosts: DataFrame, z: float = 1.645, low: fl
     total = levels["suffix"].agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     if not total["n"]:
         return hosts.select("host").distinct().withColumn("bound", F.lit(0.0))
-    mean, weight = F.lit((total["k"] + 0.5) / (total["n"] + 1)), F.lit(0.0)
+    strengths = {level: _strength(levels[level], parent, low, high) for level, parent in zip(LEVELS, ("everything", "suffix", "domain"))}
     result = hosts.select("host").distinct().withColumns(named)
-    for level, parent in zip(LEVELS, ("everything", "suffix", "domain")):
-        strength = _strength(levels[level], parent, low, high)
-        own = levels[level].select(level, F.col("n").alias("own_n"), F.col("k").alias("own_k"))
-        n, k = F.coalesce("own_n", F.lit(0)), F.coalesce("own_k", F.lit(0))
-        result = result.join(own, level, "left")
-        result = result.withColumns({"mean": (k + strength * mean) / (n + strength), "weight": n + F.lit(strength)}).drop("own_n", "own_k")
-        mean, weight = F.col("mean"), F.col("weight")
-    return result.select("host", (mean - z * F.sqrt(mean * (1 - mean) / (weight + 1))).alias("bound"))
+    for level in LEVELS:
+        own = levels[level].select(level, F.col("n").alias(f"n_{level}"), F.col("k").alias(f"k_{level}"))
+        result = result.join(own, level, "left").fillna(0, [f"n_{level}", f"k_{level}"])
+    n, k = (lambda level: F.col(f"n_{level}")), (lambda level: F.col(f"k_{level}"))
+    weight = F.lit(float(total["n"] + 1)) - n("suffix")
+    mean = (F.lit(float(total["k"]) + 0.5) - k("suffix")) / weight
+    for level, child in (("suffix", "domain"), ("domain", "host")):
+        prior = carried(strengths[level], weight, low)
+        left_n, left_k = n(level) - n(child), k(level) - k(child)
+        mean, weight = (left_k + prior * mean) / (left_n + prior), left_n + prior
+        result = result.withColumns({f"mean_{level}": mean, f"weight_{level}": weight})
+        mean, weight = F.col(f"mean_{level}"), F.col(f"weight_{level}")
+    prior = carried(strengths["host"], weight, low)
+    mean = (k("host") + prior * mean) / (n("host") + prior)
+    result = result.withColumns({"mean": mean, "weight": n("host") + prior})
+    return result.select("host", (F.col("mean") - z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))).alias("bound"))
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, limit: float = 0.25, z: float = 1.645) -> DataFrame:

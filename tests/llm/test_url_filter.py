@@ -50,3 +50,11 @@ def test_empty_tables_and_repeated_pages(spark):
     frame = spark.createDataFrame([(1, "http://a.net/x", ""), (1, "http://a.net/x", "")], PAGES)
     rows = uf.judge(frame, spark.createDataFrame([(1, 1)], OUTCOMES)).collect()
     assert len(rows) == 2 and rows[0] == rows[1]
+
+
+def test_a_host_without_labels_is_not_judged_on_one_page_of_its_domain(spark):
+    pages = [(1, "http://a.lone.net/x"), (2, "http://b.lone.net/y")] + [(10 + i, f"http://good.net/{i}") for i in range(40)]
+    outcomes = [(1, 1)] + [(10 + i, 0) for i in range(40)]
+    rows = judged(spark, pages, outcomes, limit=0.5)
+    assert rows[2]["verdict"] == "allow" and rows[1]["verdict"] == "allow"
+    assert rows[12]["bound"] < rows[2]["bound"] < 0.5
