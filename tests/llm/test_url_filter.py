@@ -57,4 +57,4 @@ def test_a_host_without_labels_is_not_judged_on_one_page_of_its_domain(spark):
     outcomes = [(1, 1)] + [(10 + i, 0) for i in range(40)]
     rows = judged(spark, pages, outcomes, limit=0.5)
     assert rows[2]["verdict"] == "allow" and rows[1]["verdict"] == "allow"
-    assert rows[12]["bound"] < rows[2]["bound"] < 0.5
+    assert rows[2]["bound"] < 0.5 and rows[1]["bound"] < 0.5  # wide intervals: few pages behind them
