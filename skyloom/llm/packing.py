@@ -16,7 +16,6 @@ other; each group is packed in one task. A group leaves at most one sequence les
 
 from __future__ import annotations
 
-import json
 import os
 import sys
 import zlib
@@ -32,26 +31,16 @@ TOKENIZER_FILE = "word_bpe_49k.json"
 CAPACITY = 2048
 SEPARATOR = 0
 ENCODE_AT_ONCE = 32
-CACHE_WORDS = 500_000
 
 
-def tokenizer_of(name: str, cache_words: int = CACHE_WORDS):
-    """The tokenizer of a public vocabulary file; a BPE model gets a word cache of ``cache_words`` entries
-    (rebuilt from the file's own vocabulary and merges, so the ids are the same; the library's default is 10,000)."""
+def tokenizer_of(name: str):
+    """The tokenizer of a public vocabulary file, as the file defines it."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task, as Spark counts
     import public_tokenizers
-    from tokenizers import Tokenizer, models
+    from tokenizers import Tokenizer
 
-    path = public_tokenizers.path(name)
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
     tokenizer.encode_special_tokens = True  # the strings of special tokens in a text are ordinary text
-    with open(path, encoding="utf-8") as handle:
-        spec = json.load(handle)["model"]
-    if spec.get("type") == "BPE" and not spec.get("dropout"):
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["merges"]]
-        given = {k: spec[k] for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
-                 if spec.get(k) is not None}
-        tokenizer.model = models.BPE(spec["vocab"], merges, cache_capacity=cache_words, **given)
     return tokenizer
 
 

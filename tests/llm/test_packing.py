@@ -98,16 +98,3 @@ def test_query_rows(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(docs).count() == 0
-
-
-def test_cached_model_gives_the_files_ids(data):
-    import pyarrow.parquet as pq
-    import public_tokenizers
-    from tokenizers import Tokenizer
-
-    plain = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER_FILE))
-    plain.encode_special_tokens = True
-    cached = packing.tokenizer_of(packing.TOKENIZER_FILE, cache_words=1000)
-    texts = [t or "" for t in pq.read_table(f"{data}/documents.parquet", columns=["text"]).column("text").to_pylist()]
-    texts += ["<|endoftext|> Café  été İstanbul x'll 12 ½", ""]
-    assert [e.ids for e in cached.encode_batch(texts, add_special_tokens=False)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
