@@ -63,20 +63,28 @@ def in_window(day: Column, as_of: Column, days_back: int = 364) -> Column:
     return day.between(F.date_sub(as_of, days_back), as_of)
 
 
-def daily_titles(articles: DataFrame, airports: Iterable[str] = AIRPORT_ALIASES) -> DataFrame:
+def daily_titles(articles: DataFrame, airports: Iterable[str] = AIRPORT_ALIASES, titles_per_part: int = 50_000) -> DataFrame:
     """Per day, each airport's distinct titles in order of publication, joined by `` | ``.
 
-    Copies of a title are removed by an aggregate of their own first, so what one day gathers
-    is the text of one result cell.
+    Copies of a title are removed by an aggregate of their own first. The titles are then laid out in the order
+    (day, airport, publication, title) over ranges of about ``titles_per_part`` titles each, so a day with very many
+    titles is spread over several tasks: each range joins its part of every (day, airport) in order, and a second
+    level joins the parts of one (day, airport) in the order of their ranges. What one task gathers is the titles of
+    one range, or one part per range of one day; only the result cell itself holds a whole day's titles.
     """
-    titles = (
-        articles.where("title <> ''").groupBy("day", "airport", "title").agg(F.min("pub_date").alias("at"))
+    titles = articles.where("title <> ''").groupBy("day", "airport", "title").agg(F.min("pub_date").alias("at"))
+    wanted = list(airports)
+    spark = titles.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, -(-titles.count() // titles_per_part))
+    ranged = titles.repartitionByRange(parts, "day", "airport", "at", "title").withColumn("part", F.spark_partition_id())
+    first = ranged.groupBy("day", "airport", "part").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "title"))), lambda t: t["title"]), " | ").alias("text")
     )
-    def label(airport: str) -> Column:
-        mine = F.collect_list(F.when(F.col("airport") == airport, F.struct("at", "title")))
-        return F.array_join(F.transform(F.array_sort(mine), lambda t: t["title"]), " | ")
-
-    return titles.groupBy("day").agg(*[label(a).alias(f"LABEL_{a}") for a in airports])
+    joined = first.groupBy("day", "airport").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "text"))), lambda t: t["text"]), " | ").alias("text")
+    )
+    label = lambda a: F.coalesce(F.first(F.when(F.col("airport") == a, F.col("text")), ignorenulls=True), F.lit(""))
+    return joined.groupBy("day").agg(*[label(a).alias(f"LABEL_{a}") for a in wanted])
 
 
 def strike_table(spine: DataFrame, titles: DataFrame, airports: Iterable[str] = AIRPORT_ALIASES) -> DataFrame:

@@ -506,3 +506,22 @@ def test_match(spark):
     copies = flights.unionByName(flights.withColumn("place", F.col("place") + 100))
     again = {r["request_id"]: r for r in mat.match(many, copies, ["place"]).collect()}
     assert len(again) == 20 and all(again[n][1:] == got[n][1:] for n in got)
+
+
+def test_daily_titles_of_a_hot_day_are_joined_over_several_ranges(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(f"t{i:05d}", "2026-01-02", "NICE", f"2026-01-02 {rng.randrange(24):02d}:{rng.randrange(60):02d}:00") for i in range(6000)]
+    rows += [("t00001", "2026-01-02", "NICE", "2026-01-01 00:00:00"), ("other", "2026-01-03", "LYON", "2026-01-03 10:00:00")]
+    frame = spark.createDataFrame(rows, "title string, day string, airport string, pub_date string").selectExpr(
+        "title", "to_date(day) as day", "airport", "to_timestamp(pub_date) as pub_date"
+    )
+    got = {r["day"].isoformat(): r for r in news.daily_titles(frame, ["NICE", "LYON"], titles_per_part=500).collect()}
+    first = {}
+    for title, day, airport, at in rows:
+        if airport == "NICE" and day == "2026-01-02":
+            first[title] = min(first.get(title, at), at)
+    want = " | ".join(t for t, _ in sorted(first.items(), key=lambda kv: (kv[1], kv[0])))
+    assert got["2026-01-02"]["LABEL_NICE"] == want and got["2026-01-02"]["LABEL_LYON"] == ""
+    assert got["2026-01-03"]["LABEL_LYON"] == "other" and got["2026-01-03"]["LABEL_NICE"] == ""
