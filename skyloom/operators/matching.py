@@ -99,26 +99,54 @@ def match(
     return match_candidates(requests, candidates(flights, order, questions(requests)), order, tolerance)
 
 
+# The flights a question weighs are those of its best level: both ends agree (3), the origin (2), the destination (1),
+# else all flights of its number and day (0). Each level's flights are found under one key.
+LEVEL_KEYS = {3: ["from", "to"], 2: ["from"], 1: ["to"], 0: []}
+ASKED_AS = {"from": "origin", "to": "destination"}
+FAR = 1_000_000
+
+
+def _by_minute(offered: DataFrame, ends: list[str], order: list[str]) -> DataFrame:
+    """Per (number, day, ends): the first flight (by order) of each minute, as one array of at most 1,441 entries."""
+    keys = ["number", "day", *ends]
+    first = keep_first(offered, [*keys, "minute"], _places(order))
+    places = [F.col(f"place_{i}") for i in range(len(order))]
+    rank = F.struct(*[p for c in places for p in (c.isNull(), c)])
+    entry = F.struct(F.col("minute").alias("minute"), rank.alias("rank"), F.struct("flight", "principal").alias("result"))
+    return first.groupBy(*keys).agg(F.collect_list(entry).alias("flights"))
+
+
 def match_candidates(
     requests: DataFrame, offered: DataFrame, order: list[str], tolerance: int = MATCH_TOLERANCE_MINUTES
 ) -> DataFrame:
-    """``match`` against candidates made before."""
+    """``match`` against candidates made before.
+
+    No question is paired with all flights of its number and day. Its level follows from which keys exist (a
+    semi-join each), and the flights of that level are one row per key holding the first flight of each minute
+    of the day, so a question meets one row of at most 1,441 entries however many flights or nameless requests
+    a day has; the nearest minute (ties: the order) is taken from that row.
+    """
     asked = questions(requests)
     # Equal questions are answered once.
-    distinct = asked.select(*QUESTION).distinct()
-    pairs = distinct.join(offered, ["number", "day"])
-    origin_ok = F.col("from") == F.col("origin")
-    dest_ok = (F.col("to") == F.col("destination")) & (F.col("destination") != "")
-    # Flights that agree in the origin hide all others, then those that agree in the destination:
-    # both rules keep the flights of the highest level. Among these the nearest readable time wins.
-    level = origin_ok.cast("int") * 2 + dest_ok.cast("int")
-    gap = F.when(F.col("hour") != "", F.abs(F.col("minute") - clock_minutes(F.col("hour"))))
-    judged = pairs.select("*", level.alias("level"), gap.alias("gap"))
-    best = keep_first(judged, QUESTION, [F.desc("level"), F.col("gap").asc_nulls_last(), *_places(order)])
+    distinct = asked.select(*QUESTION).distinct().withColumn("wanted", F.when(F.col("hour") != "", clock_minutes(F.col("hour"))))
+    level = F.lit(None).cast("int")
+    flagged = distinct
+    for value, ends in sorted(LEVEL_KEYS.items()):
+        keys = offered.select("number", "day", *[F.col(e).alias(ASKED_AS[e]) for e in ends]).distinct().withColumn(f"has_{value}", F.lit(True))
+        flagged = flagged.join(keys, ["number", "day", *[ASKED_AS[e] for e in ends]], "left")
+        usable = F.col(f"has_{value}").isNotNull() & (F.col("destination") != "" if "to" in ends else F.lit(True))
+        level = F.when(usable, F.lit(value)).otherwise(level)
+    flagged = flagged.withColumn("level", level).drop(*[f"has_{v}" for v in LEVEL_KEYS])
+    chosen = []
+    for value, ends in LEVEL_KEYS.items():
+        table = _by_minute(offered, ends, order).withColumnsRenamed({e: ASKED_AS[e] for e in ends})
+        chosen.append(flagged.where(F.col("level") == value).join(table, ["number", "day", *[ASKED_AS[e] for e in ends]]).select(*QUESTION, "wanted", "flights"))
+    met = chosen[0].unionByName(chosen[1]).unionByName(chosen[2]).unionByName(chosen[3])
+    gap = lambda f: F.when(F.col("wanted").isNotNull(), F.abs(f["minute"] - F.col("wanted")))
+    keyed = F.transform("flights", lambda f: F.struct(F.coalesce(gap(f), F.lit(FAR)).alias("g"), f["rank"].alias("rank"), gap(f).alias("gap"), f["result"].alias("result")))
+    best = met.select(*QUESTION, F.array_min(keyed).alias("best")).select(*QUESTION, "best.gap", "best.result")
     near = F.col("gap").isNull() | (F.col("gap") <= tolerance)
-    resolved = best.select(
-        *QUESTION, "gap", F.when(near, F.struct("flight", "principal")).alias("result"), F.lit(True).alias("__seen")
-    )
+    resolved = best.select(*QUESTION, "gap", F.when(near, F.col("result")).alias("result"), F.lit(True).alias("__seen"))
     missing, found = F.col("__seen").isNull(), F.col("result").isNotNull()
     joined = asked.join(resolved, QUESTION, "left")
     shared = F.col("result.principal") != F.col("number")
