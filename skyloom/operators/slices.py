@@ -2,9 +2,9 @@
 
 A fill, a running total or a numbering needs rows in order, and a window without (or with a
 hot) partition key puts all of them into one task. Here the order is cut into slices of like
-size, whatever the keys: slice limits are sampled order values, so the slice of a row is a
-pure function of that row. Each slice is worked on alone and what must cross from one slice
-to the next is carried by a table with at most one row per slice.
+size, whatever the keys, by Spark's range partitioner, and the cut table is stored. Each slice
+is worked on alone and what must cross from one slice to the next is carried by a table with
+at most one row per slice.
 
 ``order`` must tell rows apart; rows with equal order values share a slice and may change
 places.
@@ -12,7 +12,6 @@ places.
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Sequence
 
@@ -22,9 +21,7 @@ from skyloom.functions.values import null_for_nan
 from skyloom.session import stored
 
 ROWS_PER_SLICE = 500_000
-SAMPLES_PER_SLICE = 20
 SLICE = "__slice"
-SEED = 7
 
 
 def order_key(df: DataFrame, order: Sequence[str]) -> Column:
@@ -44,63 +41,36 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column:
 
 
 class Slices:
-    """Cuts of a table along an order."""
+    """Cuts of a table along an order, made by Spark's range partitioner.
+
+    The number of slices follows the rows (``rows_per_slice``); the partitioner samples the order itself, and the
+    table with its slice numbers is stored at once, so every later reading (and a task run again after a lost
+    executor) sees the same slices. Nothing of the data enters the plan as a literal.
+    """
 
     def __init__(self, df: DataFrame, order: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE):
         self.order = list(order)
         self.key = order_key(df, order)
-        self.schema = df.select(self.key.alias("k")).schema["k"].dataType.simpleString()
-        self.limits = self._limits(df, rows_per_slice)
-
-    def _limits(self, df: DataFrame, rows_per_slice: int) -> list[str]:
         rows = df.count()
-        wanted = math.ceil(rows / rows_per_slice)
-        if wanted <= 1:
-            return []
-        fraction = min(1.0, wanted * SAMPLES_PER_SLICE / rows)
-        keys = df.select(self.key.alias("k")).sample(fraction=fraction, seed=SEED)
-        # The sample is sorted and thinned in tasks; one key per slice reaches the driver.
-        every = max(1, round(rows * fraction / wanted))
-        sorted_keys = keys.orderBy("k").withColumn("__part", F.spark_partition_id())
-        place = F.row_number().over(Window.partitionBy("__part").orderBy("k"))
-        thinned = sorted_keys.withColumn("__place", place).where(F.col("__place") % every == every // 2)
-        return list(dict.fromkeys(r["k"] for r in thinned.orderBy("k").select(F.to_json("k").alias("k")).collect()))
+        self.count = math.ceil(rows / rows_per_slice) if rows else 0
 
     @property
     def single(self) -> bool:
-        return not self.limits
-
-    def _array(self, texts: Sequence[str]) -> Column:
-        return F.from_json(F.lit("[" + ",".join(texts) + "]"), f"array<{self.schema}>")
+        return self.count <= 1
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """Add the slice number. Limits are literals, searched in two steps of sqrt size."""
+        """Add the slice number: the range partition of the row's order value, in order from 0."""
         if self.single:
             return df.withColumn(SLICE, F.lit(0))
-        step = math.isqrt(len(self.limits)) + 1
-        blocks = [self.limits[i : i + step] for i in range(0, len(self.limits), step)]
-        heads = self._array([b[0] for b in blocks])
-        nested = F.from_json(
-            F.lit("[" + ",".join("[" + ",".join(b) + "]" for b in blocks) + "]"),
-            f"array<array<{self.schema}>>",
-        )
-        keyed = df.withColumn("__k", self.key)
-        passed = keyed.withColumn(
-            "__b", F.size(F.filter(heads, lambda limit: limit <= F.col("__k")))
-        )
-        inner = F.size(F.filter(F.get(nested, F.col("__b") - 1), lambda limit: limit <= F.col("__k")))
-        return passed.withColumn(
-            SLICE, F.when(F.col("__b") == 0, 0).otherwise((F.col("__b") - 1) * step + inner)
-        ).drop("__k", "__b")
-
-    def limit_keys(self, df: DataFrame, n_keys: int) -> list[str]:
-        """The first ``n_keys`` order values of each limit, as JSON, without repeats."""
-        seen = {}
-        for text in self.limits:
-            value = json.loads(text)
-            part = {k: v for k, v in value.items() if int(k[1:]) < n_keys}
-            seen[json.dumps(part)] = None
-        return list(seen)
+        ranged = df.withColumn("__k", self.key).repartitionByRange(self.count, "__k")
+        return stored(ranged.withColumn(SLICE, F.spark_partition_id()).drop("__k"))
+
+    @staticmethod
+    def edges(cut: DataFrame, head: Column) -> DataFrame:
+        """The first and last value of ``head`` (a prefix of the order) in each slice, without repeats: the only
+        values that can lie in more than one slice. At most two rows per slice."""
+        ends = cut.groupBy(SLICE).agg(F.min(head).alias("lo"), F.max(head).alias("hi"))
+        return ends.select(F.explode(F.array("lo", "hi")).alias("__edge")).distinct()
 
     def sort(self) -> list[Column]:
         return [F.col(f"`{c}`").asc_nulls_last() for c in self.order]
@@ -164,15 +134,11 @@ def ordinals(
     local = cut.withColumn(name, F.row_number().over(window) - 1)
     if slices.single:
         return local.drop(SLICE)
-    # Only keys found at a slice limit lie in more than one slice; there are at most as many
-    # as limits, and they fill at most two rows per slice below.
+    # Only keys found at the ends of a slice lie in more than one slice; there are at most two a slice,
+    # and they fill at most two rows per slice below.
     names = [f"__k{i}" for i in range(len(keys))]
-    spark = df.sparkSession
     head = order_key(df, keys)
-    shape = df.select(head.alias("k")).schema["k"].dataType.simpleString()
-    edge = spark.createDataFrame([(t,) for t in slices.limit_keys(df, len(keys))], "t string").select(
-        F.from_json("t", shape).alias("__edge")
-    )
+    edge = Slices.edges(cut, head)
     counted = (
         cut.join(F.broadcast(edge), head.eqNullSafe(F.col("__edge")), "left_semi")
         .groupBy(SLICE, *[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)])
