@@ -525,3 +525,52 @@ def test_daily_titles_of_a_hot_day_are_joined_over_several_ranges(spark):
     want = " | ".join(t for t, _ in sorted(first.items(), key=lambda kv: (kv[1], kv[0])))
     assert got["2026-01-02"]["LABEL_NICE"] == want and got["2026-01-02"]["LABEL_LYON"] == ""
     assert got["2026-01-03"]["LABEL_LYON"] == "other" and got["2026-01-03"]["LABEL_NICE"] == ""
+
+
+def brute_match(question, flights):
+    """The rules of ``match`` by plain loops: level, then nearest minute, then place."""
+    number, hour, origin, destination = question
+    mine = [f for f in flights if f[1] == number]
+    if not mine:
+        return None
+    level = lambda f: 2 * (f[2] == origin) + (f[3] == destination and destination != "")
+    top = max(level(f) for f in mine)
+    wanted = None if hour is None else int(hour[:2]) * 60 + int(hour[3:])
+    gap = lambda f: None if wanted is None else abs(f[4] - wanted)
+    best = min((f for f in mine if level(f) == top), key=lambda f: (gap(f) is None, gap(f) or 0, f[0]))
+    return best[0], gap(best)
+
+
+def test_match_of_a_hot_day_equals_loops(spark):
+    rng = random.Random(21)
+    ends = ["CDG", "ORY", "NCE", "LYS"]
+    flights = [(p, "AF 7", rng.choice(ends), rng.choice(ends), rng.randrange(1440)) for p in range(400)]
+    flights += [(400 + p, "AF 8", rng.choice(ends), rng.choice(ends), rng.randrange(1440)) for p in range(5)]
+    asked = []
+    for i in range(600):
+        hour = None if rng.random() < 0.2 else f"{rng.randrange(24):02d}:{rng.randrange(60):02d}"
+        asked.append((f"r{i}", rng.choice(["AF 7", "AF 8", "AF 9"]), hour, rng.choice(ends), rng.choice(ends + [""])))
+    frame = spark.createDataFrame(
+        [(p, n, [], "2026-01-01", a, b, f"2026-01-01 {m // 60:02d}:{m % 60:02d}+01:00") for p, n, a, b, m in flights],
+        "place int, flight_number string, codeshares array<string>, flight_date string, airport_origin string,"
+        " airport_destination string, scheduled_departure string",
+    )
+    requests = spark.createDataFrame(
+        [(r, n, "2026-01-01" + (f"T{h}" if h else ""), a, b or None) for r, n, h, a, b in asked],
+        "request_id string, flight_number string, date string, departure_airport string, arrival_airport string",
+    )
+    got = {r["request_id"]: r for r in mat.match(requests, frame, ["place"]).collect()}
+    by_place = {f[0]: f for f in flights}
+    for r, n, h, a, b in asked:
+        want = brute_match((n, h, a, b), flights)
+        row = got[r]
+        if want is None:
+            assert row["status"] == "error_flight_not_found", r
+            continue
+        place, gap = want
+        assert row["best_time_diff_minutes"] == gap, r
+        if gap is None or gap <= 30:
+            m = by_place[place][4]
+            assert row["matched_scheduled_departure"] == f"2026-01-01 {m // 60:02d}:{m % 60:02d}+01:00", r
+        else:
+            assert row["status"] == "error_time_mismatch", r
