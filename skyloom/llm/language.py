@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+#: A letter is a code point of Unicode category L (number signs such as ½, ² or Ⅷ are not).
+LETTER = regex.compile(r"\p{L}")
 #: Bytes to bytes: ASCII letters and bytes of other scripts stay, the rest separates words.
 LETTERS = bytes(i if i >= 128 or chr(i).isalpha() else 32 for i in range(256))
 #: Bytes of text that are turned into numbers at once.

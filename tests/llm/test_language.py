@@ -50,3 +50,12 @@ def test_nothing_learned_and_empty_table(spark):
     frame = spark.createDataFrame([(1, "abc", "aa", "")], TEXTS)
     assert [(r["lang_pred"], r["score"]) for r in language.identify(frame, known).collect()] == [("und", 0.0)]
     assert language.identify(empty, model(spark)).count() == 0
+
+
+def test_number_signs_are_no_letters(spark):
+    known = model(spark)
+    docs = [(1, "½ ² 12"), (2, "²"), (3, "Ⅷ ⅻ ³"), (4, "½ dodo")]
+    frame = spark.createDataFrame([(*d, "", "") for d in docs], TEXTS)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(frame, known).collect()}
+    assert got[1] == got[2] == got[3] == ("und", 0.0)
+    assert got[4][0] == "aa"
