@@ -150,7 +150,8 @@ def train(labelled: DataFrame, cost: float = 1.0, epochs: int = 20, mix: float =
         return Model(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS), 0.0, 0.0, float(np.log((share + 1e-6) / (1 - share + 1e-6))))
     ratios = log_ratios(labelled)
     shared = labelled.sparkSession.sparkContext.broadcast(ratios)
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), F.lit(1 << 30)) < int(min(1.0, max_fit_rows / n) * (1 << 30))
+    drawn = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), F.lit(1 << 30))
+    draw = drawn < int(min(1.0, max_fit_rows / n) * (1 << 30))
 
     def encode(batches):
         for batch in batches:
@@ -168,7 +169,9 @@ def train(labelled: DataFrame, cost: float = 1.0, epochs: int = 20, mix: float =
         slope, offset = sigmoid_fit(margins, labels)
         yield pd.DataFrame({"weights": [weights.astype(np.float32).tobytes()], "bias": [bias], "slope": [slope], "offset": [offset]})
 
-    sample = labelled.where(draw).mapInArrow(encode, "label int, buckets binary").limit(max_fit_rows)
+    # The rows of least hash, whatever the partitioning: a rerun fits the same rows.
+    kept = labelled.where(draw).withColumn("__h", drawn).orderBy("__h", "doc_id", "label", "text").limit(max_fit_rows)
+    sample = kept.select("label", "text").mapInArrow(encode, "label int, buckets binary")
     fitted = store.keep(sample).repartition(1).mapInPandas(fit, "weights binary, bias double, slope double, offset double").first()
     return Model(ratios, np.frombuffer(fitted["weights"], np.float32), fitted["bias"], fitted["slope"], fitted["offset"])
 

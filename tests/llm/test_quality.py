@@ -80,3 +80,10 @@ def test_dual_descent_separates_and_keeps_its_constraints():
             other = weights.copy()
             other[k] += step
             assert loss(other) > base - 0.05
+
+
+def test_a_bounded_fit_takes_the_same_rows_under_any_partitioning(spark):
+    frame = spark.createDataFrame(list(rows(300, 5)), "doc_id long, text string, label int")
+    one = quality.train(frame.repartition(1), max_fit_rows=40)
+    many = quality.train(frame.repartition(7, "doc_id"), max_fit_rows=40)
+    assert np.array_equal(one.weights, many.weights) and one.bias == many.bias
