@@ -20,7 +20,9 @@ HEADERS = pa.map_(pa.string(), pa.string())
 TYPES = [pa.string()] * 6 + [HEADERS, pa.binary()]
 NAMES = [part.split()[0] for part in RECORD.split(", ")]
 
-HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
+#: Hidden parts: comments and elements whose content is never shown. The head is not among them (its end tag may be
+#: left out, and then nothing would tell where it ends); of its elements only the title holds text, and it is hidden here.
+HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|title)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
 #: Elements that begin a new line.
 BLOCK = re.compile(
     r"</?(?:address|article|aside|blockquote|br|caption|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>", re.I)
@@ -61,7 +63,7 @@ def decoded(payload: bytes, fields: dict[str, str]) -> str:
     named = CHARSET.search(fields.get("content-type", "")) or CHARSET.search(payload[:2048].decode("latin-1"))
     try:
         return payload.decode(named.group(1) if named else "utf-8", "replace")
-    except LookupError:
+    except (LookupError, ValueError):  # unknown codecs, and codecs such as undefined or idna that refuse bytes
         return payload.decode("utf-8", "replace")
 
 
@@ -186,7 +188,12 @@ def parsed(data: bytes):
         for line in data[begin:end].decode("utf-8", "replace").split("\r\n")[1:]:
             name, _, value = line.partition(":")
             headers[name.strip()] = value.strip()
-        length = int(headers.get("Content-Length", 0))
+        given = headers.get("Content-Length", "0").strip()
+        if given.isdigit():
+            length = int(given)
+        else:  # an unreadable length: the block runs to the next record or the end
+            following = data.find(b"\r\n\r\nWARC/", end + 4)
+            length = (following if following >= 0 else len(data)) - end - 4
         yield headers, data[end + 4 : end + 4 + length]
         at = end + 4 + length
 

@@ -56,3 +56,13 @@ def test_charsets_odd_markup_and_empty_tables(spark):
     assert warc.split_http(b"no header") == ("", {}, b"no header")
     empty = records(spark, [])
     assert warc.derive(empty).count() == 0 and warc.encode(empty).count() == 0
+
+
+def test_refusing_charsets_bad_lengths_and_an_open_head():
+    for charset in ("undefined", "idna", "no-such-codec"):
+        assert warc.decoded("café".encode(), {"content-type": f"text/html; charset={charset}"}) == "café"
+    assert warc.plain_text("<html><head><title>T</title><body><p>visible text") == "visible text"
+    assert warc.plain_text("<head><meta charset=utf-8><title>T</title><p>shown</p>") == "shown"
+    block = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: x\r\n\r\nabc\r\n\r\nWARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
+    found = list(warc.parsed(block))
+    assert [(h["WARC-Type"], c) for h, c in found] == [("response", b"abc"), ("metadata", b"ok")]
