@@ -109,11 +109,14 @@ FAR = 1_000_000
 def _by_minute(offered: DataFrame, ends: list[str], order: list[str]) -> DataFrame:
     """Per (number, day, ends): the first flight (by order) of each minute, as one array of at most 1,441 entries."""
     keys = ["number", "day", *ends]
-    first = keep_first(offered, [*keys, "minute"], _places(order))
     places = [F.col(f"place_{i}") for i in range(len(order))]
     rank = F.struct(*[p for c in places for p in (c.isNull(), c)])
-    entry = F.struct(F.col("minute").alias("minute"), rank.alias("rank"), F.struct("flight", "principal").alias("result"))
-    return first.groupBy(*keys).agg(F.collect_list(entry).alias("flights"))
+    entry = F.struct(rank.alias("rank"), F.struct("flight", "principal").alias("result"))
+    if set(ends) == {"from", "to"}:  # candidates hold one flight per (number, day, from, to, minute) already
+        per_minute = offered.select(*keys, "minute", entry.alias("e"))
+    else:
+        per_minute = offered.groupBy(*keys, "minute").agg(F.min(entry).alias("e"))
+    return per_minute.groupBy(*keys).agg(F.collect_list(F.struct("minute", "e.rank", "e.result")).alias("flights"))
 
 
 def match_candidates(
@@ -121,27 +124,20 @@ def match_candidates(
 ) -> DataFrame:
     """``match`` against candidates made before.
 
-    No question is paired with all flights of its number and day. Its level follows from which keys exist (a
-    semi-join each), and the flights of that level are one row per key holding the first flight of each minute
-    of the day, so a question meets one row of at most 1,441 entries however many flights or nameless requests
-    a day has; the nearest minute (ties: the order) is taken from that row.
+    No question is paired with all flights of its number and day. For each level the flights are one row per key
+    holding the first flight of each minute of the day; a question looks up the row of each level (a left join
+    each) and takes the highest level that has one, so it meets rows of at most 1,441 entries however many
+    flights or nameless requests a day has; the nearest minute (ties: the order) is taken from that row.
     """
     asked = questions(requests)
     # Equal questions are answered once.
-    distinct = asked.select(*QUESTION).distinct().withColumn("wanted", F.when(F.col("hour") != "", clock_minutes(F.col("hour"))))
-    level = F.lit(None).cast("int")
-    flagged = distinct
-    for value, ends in sorted(LEVEL_KEYS.items()):
-        keys = offered.select("number", "day", *[F.col(e).alias(ASKED_AS[e]) for e in ends]).distinct().withColumn(f"has_{value}", F.lit(True))
-        flagged = flagged.join(keys, ["number", "day", *[ASKED_AS[e] for e in ends]], "left")
-        usable = F.col(f"has_{value}").isNotNull() & (F.col("destination") != "" if "to" in ends else F.lit(True))
-        level = F.when(usable, F.lit(value)).otherwise(level)
-    flagged = flagged.withColumn("level", level).drop(*[f"has_{v}" for v in LEVEL_KEYS])
-    chosen = []
+    met = asked.select(*QUESTION).distinct().withColumn("wanted", F.when(F.col("hour") != "", clock_minutes(F.col("hour"))))
     for value, ends in LEVEL_KEYS.items():
-        table = _by_minute(offered, ends, order).withColumnsRenamed({e: ASKED_AS[e] for e in ends})
-        chosen.append(flagged.where(F.col("level") == value).join(table, ["number", "day", *[ASKED_AS[e] for e in ends]]).select(*QUESTION, "wanted", "flights"))
-    met = chosen[0].unionByName(chosen[1]).unionByName(chosen[2]).unionByName(chosen[3])
+        table = _by_minute(offered, ends, order).withColumnsRenamed({e: ASKED_AS[e] for e in ends} | {"flights": f"flights_{value}"})
+        met = met.join(table, ["number", "day", *[ASKED_AS[e] for e in ends]], "left")
+    named = F.col("destination") != ""
+    chosen = F.coalesce(F.when(named, F.col("flights_3")), F.col("flights_2"), F.when(named, F.col("flights_1")), F.col("flights_0"))
+    met = met.where(chosen.isNotNull()).select(*QUESTION, "wanted", chosen.alias("flights"))
     gap = lambda f: F.when(F.col("wanted").isNotNull(), F.abs(f["minute"] - F.col("wanted")))
     keyed = F.transform("flights", lambda f: F.struct(F.coalesce(gap(f), F.lit(FAR)).alias("g"), f["rank"].alias("rank"), gap(f).alias("gap"), f["result"].alias("result")))
     best = met.select(*QUESTION, F.array_min(keyed).alias("best")).select(*QUESTION, "best.gap", "best.result")
