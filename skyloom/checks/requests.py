@@ -15,7 +15,7 @@ from skyloom.plans import scoring as sc
 from skyloom.plans import training as tr
 from skyloom.functions.text import valid_request
 from skyloom.functions.values import risk_band
-from skyloom.session import shared_folder
+from skyloom.session import shared_folder, stored
 from skyloom.streaming import requests as rs
 
 ORDER = [*LINE_ORDER, "l_orderkey", "l_linenumber"]
@@ -159,7 +159,7 @@ def score_requests(t: Tables) -> DataFrame:
     """
     classifier = fitted(t, tr.boosted_classifier(), ft.TARGET)[:2]
     regressor = fitted(t, tr.boosted_regressor(), None)[:2]
-    found = _scored(t, match(requests(t), flights(t), ORDER), (classifier, regressor))
+    found = _scored(t, stored(match(requests(t), flights(t), ORDER)), (classifier, regressor))
     minutes = F.col("predicted_arrival_delay_minutes")
     sound = F.col("delay_probability").between(0, 1) & (minutes >= 0) & (F.col("is_delayed") == (F.col("delay_probability") > 0.5)) & (F.col("risk") == risk_band(minutes))
     return found.select("request_id", "outcome", F.col("delay_probability").isNotNull().alias("scored"), F.coalesce(sound, F.lit(True)).alias("sound"))
@@ -238,7 +238,7 @@ def request_stream_models(t: Tables) -> DataFrame:
     second.withColumn(rs.EVENT_TIME, at - F.expr("INTERVAL 10 MINUTES")).repartition(4, "request_id").write.mode("append").json(f"{folder}/in")
     run()
     streamed = rs.read_answers(t.spark, f"{folder}/out")
-    batch = _scored(t, match(requests(t), flights(t), ORDER), rs.load_models(t.spark, f"{folder}/models"))
+    batch = _scored(t, stored(match(requests(t), flights(t), ORDER)), rs.load_models(t.spark, f"{folder}/models"))
     both = streamed.select("request_id", *[F.col(c).alias(f"s_{c}") for c in SCORES]).join(batch, "request_id", "full")
     same = F.lit(True)
     for c in SCORES:

@@ -64,11 +64,16 @@ def candidates(flights: DataFrame, order: list[str], asked: DataFrame | None = N
         F.struct(*FOUND).alias("flight"),
     )
     if asked is not None:
-        # Before the ranking, so that flights nobody asks for are neither ranked nor moved; measured for broadcast.
-        rows = rows.join(sized(asked.select("number", "day").distinct()), ["number", "day"], "left_semi")
+        # Before the ranking, so that flights nobody asks for are neither ranked nor moved.
+        rows = of_questions(rows, asked)
     return keep_first(rows, ["number", "day", "from", "to", "minute"], _places(order))
 
 
+def of_questions(offered: DataFrame, asked: DataFrame) -> DataFrame:
+    """Candidates of a (number, day) that some question names; the keys are measured for broadcast."""
+    return offered.join(sized(asked.select("number", "day").distinct()), ["number", "day"], "left_semi")
+
+
 def _places(order: list[str]) -> list[Column]:
     return [F.col(f"place_{i}").asc_nulls_last() for i in range(len(order))]
 
@@ -127,20 +132,25 @@ def match_candidates(
     No question is paired with all flights of its number and day. For each level the flights are one row per key
     holding the first flight of each minute of the day; a question looks up the row of each level (a left join
     each) and takes the highest level that has one, so it meets rows of at most 1,441 entries however many
-    flights or nameless requests a day has; the nearest minute (ties: the order) is taken from that row.
+    flights or nameless requests a day has; the nearest minute (ties: the order) is taken from that row at once, so
+    that a question carries one flight, not rows of flights, into the next join.
     """
     asked = questions(requests)
+    named, found_none = F.col("destination") != "", F.col("best").isNull()
+    gap = lambda f: F.when(F.col("wanted").isNotNull(), F.abs(f["minute"] - F.col("wanted")))
+    keyed = F.transform("flights", lambda f: F.struct(F.coalesce(gap(f), F.lit(FAR)).alias("g"), f["rank"].alias("rank"), gap(f).alias("gap"), f["result"].alias("result")))
+    # Through a list of one, so that the nearest is looked for once for both of its fields.
+    nearest = F.get(F.transform(F.array(F.array_min(keyed)), lambda b: F.struct(b["gap"].alias("gap"), b["result"].alias("result"))), F.lit(0))
     # Equal questions are answered once.
     met = asked.select(*QUESTION).distinct().withColumn("wanted", F.when(F.col("hour") != "", clock_minutes(F.col("hour"))))
+    carried = [*QUESTION, "wanted"]
     for value, ends in LEVEL_KEYS.items():
-        table = _by_minute(offered, ends, order).withColumnsRenamed({e: ASKED_AS[e] for e in ends} | {"flights": f"flights_{value}"})
+        table = _by_minute(offered, ends, order).withColumnsRenamed({e: ASKED_AS[e] for e in ends})
         met = met.join(table, ["number", "day", *[ASKED_AS[e] for e in ends]], "left")
-    named = F.col("destination") != ""
-    chosen = F.coalesce(F.when(named, F.col("flights_3")), F.col("flights_2"), F.when(named, F.col("flights_1")), F.col("flights_0"))
-    met = met.where(chosen.isNotNull()).select(*QUESTION, "wanted", chosen.alias("flights"))
-    gap = lambda f: F.when(F.col("wanted").isNotNull(), F.abs(f["minute"] - F.col("wanted")))
-    keyed = F.transform("flights", lambda f: F.struct(F.coalesce(gap(f), F.lit(FAR)).alias("g"), f["rank"].alias("rank"), gap(f).alias("gap"), f["result"].alias("result")))
-    best = met.select(*QUESTION, F.array_min(keyed).alias("best")).select(*QUESTION, "best.gap", "best.result")
+        here = F.col("flights").isNotNull() & named if "to" in ends else F.col("flights").isNotNull()
+        best = F.when(here, nearest) if value == max(LEVEL_KEYS) else F.coalesce("best", F.when(found_none & here, nearest))
+        met = met.select(*carried, best.alias("best"))
+    best = met.where("best is not null").select(*QUESTION, "best.gap", "best.result")
     near = F.col("gap").isNull() | (F.col("gap") <= tolerance)
     resolved = best.select(*QUESTION, "gap", F.when(near, F.col("result")).alias("result"), F.lit(True).alias("__seen"))
     missing, found = F.col("__seen").isNull(), F.col("result").isNotNull()

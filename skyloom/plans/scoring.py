@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from skyloom.functions.values import not_negative, risk_band
 from skyloom.operators.distinct import keep_first
 from skyloom.operators.features import date_parts
+from skyloom.operators.lookup import sized
 from skyloom.plans.training import Encoding
 
 MATCHED = ["flight_number", "scheduled_departure", "airport_origin", "airport_destination"]
@@ -34,7 +35,15 @@ def overlay(df: DataFrame, reference: DataFrame, keep: Sequence[str] = ()) -> Da
 
 
 def answered_rows(answers: DataFrame, flights: DataFrame, order: list[str]) -> DataFrame:
-    """Each answered request with the row of its flight; unanswered ones carry nulls."""
+    """Each answered request with the row of its flight; unanswered ones carry nulls.
+
+    ``answers`` are read twice. Only flights that answer a request are ranked and moved.
+    """
+    found = answers.where(F.col("matched_flight_number").isNotNull()).select(*MATCHED_AS).distinct()
+    same = F.lit(True)
+    for mine, theirs in zip(MATCHED_AS, MATCHED):
+        same = same & F.col(f"`{theirs}`").eqNullSafe(F.col(mine))
+    flights = flights.join(sized(found), same, "left_semi")
     first = keep_first(flights, MATCHED, [F.col(c).asc_nulls_last() for c in order])
     renamed = first.select(*[F.col(f"`{c}`").alias(f"__{c}") for c in flights.columns])
     test = F.col("matched_flight_number").isNotNull()

@@ -541,6 +541,27 @@ def brute_match(question, flights):
     return best[0], gap(best)
 
 
+def test_questions_carry_no_lists_of_flights(spark):
+    """Each join of the match takes single values on the question's side, so its size does not follow a day's flights."""
+    flights = spark.createDataFrame(
+        FLIGHTS,
+        "place int, flight_number string, codeshares array<string>, flight_date string, airport_origin string,"
+        " airport_destination string, scheduled_departure string",
+    )
+    requests = spark.createDataFrame(
+        [c[:5] for c in CASES], "request_id string, flight_number string, date string, departure_airport string, arrival_airport string"
+    )
+    joins, todo = [], [mat.match(requests, flights, ["place"])._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        todo += children
+        if node.nodeName() == "Join":
+            out = children[0].output()
+            joins.append([out.apply(i).dataType().typeName() for i in range(out.size())])
+    assert len(joins) >= 5 and not any("array" in kinds for kinds in joins)
+
+
 def test_match_of_a_hot_day_equals_loops(spark):
     rng = random.Random(21)
     ends = ["CDG", "ORY", "NCE", "LYS"]
