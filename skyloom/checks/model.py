@@ -12,7 +12,7 @@ from skyloom.operators import features as ft
 from skyloom.operators import metrics as mt
 from skyloom.operators import ranking as rk
 from skyloom.plans import training as tr
-from skyloom.session import shared_folder
+from skyloom.session import shared_folder, stored
 
 
 def _sql_hash(key: str, seed: int = 42) -> str:
@@ -327,8 +327,7 @@ _IGNORED = ["row_id", "arrival_delay_min", ft.TARGET]
 
 
 def fitted(t: Tables, learner, by: str | None):
-    rows = model_rows(t)
-    train, test = ft.split(rows, ["row_id"], by=by)
+    train, test = (stored(part) for part in ft.split(model_rows(t), ["row_id"], by=by))  # each is read many times
     encoding = tr.fit_encoding(train, _IGNORED)
     train, test = encoding.apply(train), encoding.apply(test)
     return tr.assembled(learner, encoding.features).fit(train), encoding, train, test
@@ -346,7 +345,7 @@ _SQL_RULE = "cast(l_returnflag = 'A' and l_linenumber <= 3 as int)"
 
 
 def _rule_confusion(t: Tables, learner) -> DataFrame:
-    rows = tr.balanced(_ruled_rows(t))
+    rows = tr.balanced(stored(_ruled_rows(t)))  # read by the sizes, the encoding, the bins, the cells and the scores
     encoding = tr.fit_encoding(rows, [*_IGNORED, "weight"])
     coded = encoding.apply(rows)
     return mt.confusion(tr.assembled(learner, encoding.features).fit(coded).transform(coded), ft.TARGET, "prediction")
@@ -379,7 +378,7 @@ def fit_regressor(t: Tables) -> DataFrame:
 @query("fit_forest_classifier")
 def fit_forest_classifier(t: Tables) -> DataFrame:
     rows = tr.balanced(model_rows(t))
-    train, test = ft.split(rows, ["row_id"], by=ft.TARGET)
+    train, test = (stored(part) for part in ft.split(rows, ["row_id"], by=ft.TARGET))
     encoding = tr.fit_encoding(train, [*_IGNORED, "weight"])
     model = tr.assembled(tr.forest_classifier(), encoding.features).fit(encoding.apply(train))
     return tr.quality(tr.scored(model, encoding.apply(test), ft.TARGET))
