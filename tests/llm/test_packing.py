@@ -98,3 +98,50 @@ def test_query_rows(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(docs).count() == 0
+
+
+def odd_texts():
+    rng = random.Random(7)
+    near = ["'", "s", "t", "re", "ve", "m", "ll", "d", "S", "R", "e", " ", "\n", "!", "1", "é", "É", "ß", "\x1c", "\x0b", "<|endoftext|>", "\x00"]
+    far = [" ", "\n", "\x85", "\xa0", " ", "'", "S", "́", "Σ", "σ", "İ", "a", "é", "٣", "½", "😀", "가", "ᄀ", "ᅡ", "ﬁ", "µ", "×"]
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randint(0, 30))) for chars in (near, far) for _ in range(1500)]
+    return [*texts, "", " ", "'", "'s", "\n", "ΟΔΟΣ ΑΣ", "x" * 300]
+
+
+def test_words_give_the_ids_of_whole_texts(monkeypatch):
+    tokenizer, texts = packing.tokenizer_of(packing.TOKENIZER_FILE), odd_texts()
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for at_once in (packing.CUT_AT_ONCE, 100):
+        monkeypatch.setattr(packing, "CUT_AT_ONCE", at_once)
+        assert [ids.tolist() for ids in packing.encoder_of(packing.TOKENIZER_FILE)(texts)] == want
+
+
+def test_each_word_is_encoded_once():
+    class Counting:
+        def __init__(self):
+            self.inner, self.words = packing.tokenizer_of(packing.TOKENIZER_FILE), []
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def encode(self, text, **options):
+            self.words += text.split(" ")
+            return self.inner.encode(text, **options)
+
+    counting = Counting()
+    words = packing.Words(counting, most=50)
+    for _ in range(3):
+        words.ids(["one Two, one", "two ONE", "x" * 100])
+    assert sorted(set(counting.words)) == [",", "one", "two", "x" * 100]
+    assert counting.words.count("one") == counting.words.count("two") == 1
+    assert "x" * 100 not in words.known
+    words.ids([" ".join(f"w{chr(97 + i)}" for i in range(26)), "other text"])
+    words.ids([" ".join(f"v{chr(97 + i)}" for i in range(26)), "other text"])
+    assert len(words.known) <= 50
+
+
+def test_other_tokenizers_encode_whole_texts(monkeypatch):
+    texts = odd_texts()[:50]
+    want = [ids.tolist() for ids in packing.encoder_of(packing.TOKENIZER_FILE)(texts)]
+    monkeypatch.setattr(packing, "encodes_apart", lambda definition: False)
+    assert [ids.tolist() for ids in packing.encoder_of(packing.TOKENIZER_FILE)(texts)] == want
