@@ -37,20 +37,24 @@ def overlay(df: DataFrame, reference: DataFrame, keep: Sequence[str] = ()) -> Da
 def answered_rows(answers: DataFrame, flights: DataFrame, order: list[str]) -> DataFrame:
     """Each answered request with the row of its flight; unanswered ones carry nulls.
 
-    ``answers`` are read twice. Only flights that answer a request are ranked and moved.
+    ``answers`` are read three times. Only flights that answer a request are ranked and moved; unanswered requests, whose
+    keys are all null and would meet in one task, pass the join by.
     """
-    found = answers.where(F.col("matched_flight_number").isNotNull()).select(*MATCHED_AS).distinct()
+    known = F.col("matched_flight_number").isNotNull()
+    found = answers.where(known).select(*MATCHED_AS).distinct()
     same = F.lit(True)
     for mine, theirs in zip(MATCHED_AS, MATCHED):
         same = same & F.col(f"`{theirs}`").eqNullSafe(F.col(mine))
     flights = flights.join(sized(found), same, "left_semi")
     first = keep_first(flights, MATCHED, [F.col(c).asc_nulls_last() for c in order])
     renamed = first.select(*[F.col(f"`{c}`").alias(f"__{c}") for c in flights.columns])
-    test = F.col("matched_flight_number").isNotNull()
+    test = F.lit(True)
     for mine, theirs in zip(MATCHED_AS, MATCHED):
         test = test & F.col(mine).eqNullSafe(F.col(f"__{theirs}"))
-    joined = answers.join(renamed, test, "left")
-    return joined.select(*answers.columns, *[F.col(f"__{c}").alias(c) for c in flights.columns])
+    joined = answers.where(known).join(renamed, test, "left")
+    answered = joined.select(*answers.columns, *[F.col(f"__{c}").alias(c) for c in flights.columns])
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in flights.schema.fields]
+    return answered.union(answers.where(~known).select(*answers.columns, *nothing))
 
 
 def predictions(
