@@ -10,7 +10,7 @@ from skyloom.checks.base import LINE_ORDER, Tables, airport_of, query, sql_airpo
 from skyloom.checks.model import FEATURES, fitted
 from skyloom.operators import congestion as cong
 from skyloom.operators import features as ft
-from skyloom.operators.matching import codeshare_only, match, matches_number
+from skyloom.operators.matching import codeshare_only, match, matches_number, prepared
 from skyloom.plans import scoring as sc
 from skyloom.plans import training as tr
 from skyloom.functions.text import valid_request
@@ -216,15 +216,17 @@ def request_stream_models(t: Tables) -> DataFrame:
         jvm = t.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(marker)
         system = path.getFileSystem(t.spark._jsc.hadoopConfiguration())
-        if answers.count() and system.exists(path):  # a batch with rows, first attempt: fail while writing
+        if system.exists(path) and answers.count():  # a batch with rows, first attempt: fail while writing
             system.delete(path, True)
             return found.withColumn("request_id", F.when(F.col("request_id").cast("long") % 2 == 1, F.raise_error(F.lit("lost in the write"))).otherwise(F.col("request_id")))
         return found
 
+    offered = prepared(flights(t), ORDER)  # the three starts read one stored table
+
     def run() -> None:
         job = rs.answer_stream(
             rs.read_requests(t.spark, f"{folder}/in", files_per_batch=1), flights(t), ORDER, f"{folder}/out", f"{folder}/state",
-            score=rs.model_scorer(f"{folder}/models", score),
+            score=rs.model_scorer(f"{folder}/models", score), offered=offered,
         )
         job.awaitTermination()
 
