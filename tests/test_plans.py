@@ -11,7 +11,7 @@ from skyloom.operators import signoff as sign
 from skyloom.operators.distinct import keep_unique
 from skyloom.operators.weather import weather_table
 from skyloom.plans import history, scoring, training
-from skyloom.schemas import MOVEMENT, RAW_WEATHER, conform
+from skyloom.schemas import BOARD, MOVEMENT, RAW_WEATHER, RECORD_BOARD, conform
 from skyloom.sources import articles, boards, files
 from skyloom.streaming import requests as stream
 
@@ -130,6 +130,24 @@ def test_history(spark, landed):
     assert len(table.columns) == len(MOVEMENT) + 1 + 42 + 10 + 1 + 12 + 8 + 1
 
 
+def test_history_makes_records_on_target_routes_only(spark, landed, monkeypatch):
+    root, weather = landed
+    kept = []
+    monkeypatch.setattr(history, "stored", lambda df: kept.append(df) or df)
+    news = articles.read_feeds(spark, str(root / "feed.xml"))
+    tables = [
+        history.flight_history(boards.read_boards(spark, str(root / "boards.json"), layout), weather, news, "2026-04-20", "2026-04-30", history.Rules(trim_head=0, trim_tail=0))
+        for layout in (BOARD, RECORD_BOARD)
+    ]
+    rows = [sorted(map(repr, t.collect())) for t in tables]
+    assert rows[0] == rows[1] and len(rows[0]) == 3
+    # All flights seen are stored, without what only the target routes' records need.
+    assert kept[1].count() == 5 and not {c for c in kept[1].columns if "delay" in c or "estimated" in c}
+    full, narrow = (mov.records(mov.board_flights(boards.read_boards(spark, str(root / "boards.json"), layout))) for layout in (BOARD, RECORD_BOARD))
+    assert full.dtypes == narrow.dtypes and sorted(map(repr, full.collect())) == sorted(map(repr, narrow.collect()))
+    assert full.columns[: len(MOVEMENT)] == MOVEMENT.fieldNames()
+
+
 def test_joins_keep_the_row_count(spark, landed):
     root, weather = landed
     flights = mov.movement_table(boards.read_boards(spark, str(root / "boards.json")))
