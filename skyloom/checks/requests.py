@@ -7,12 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from skyloom.checks.base import LINE_ORDER, Tables, airport_of, query, sql_airport
-from skyloom.checks.model import FEATURES, fitted
+from skyloom.checks.model import FEATURES, fitted_pair
 from skyloom.operators import congestion as cong
-from skyloom.operators import features as ft
 from skyloom.operators.matching import codeshare_only, match, matches_number, prepared
 from skyloom.plans import scoring as sc
-from skyloom.plans import training as tr
 from skyloom.functions.text import valid_request
 from skyloom.functions.values import risk_band
 from skyloom.session import shared_folder, stored
@@ -157,9 +155,8 @@ def score_requests(t: Tables) -> DataFrame:
 
     A score is sound when the probability and the minutes are in their ranges and flag and band follow from them.
     """
-    classifier = fitted(t, tr.boosted_classifier(), ft.TARGET)[:2]
-    regressor = fitted(t, tr.boosted_regressor(), None)[:2]
-    found = _scored(t, stored(match(requests(t), flights(t), ORDER)), (classifier, regressor))
+    models = fitted_pair(t)
+    found = _scored(t, stored(match(requests(t), flights(t), ORDER)), models)
     minutes = F.col("predicted_arrival_delay_minutes")
     sound = F.col("delay_probability").between(0, 1) & (minutes >= 0) & (F.col("is_delayed") == (F.col("delay_probability") > 0.5)) & (F.col("risk") == risk_band(minutes))
     return found.select("request_id", "outcome", F.col("delay_probability").isNotNull().alias("scored"), F.coalesce(sound, F.lit(True)).alias("sound"))
@@ -200,9 +197,7 @@ def request_stream_models(t: Tables) -> DataFrame:
     started a third time. ``same``: the stream's scores equal those of scoring the whole table with the same models.
     """
     folder = f"{shared_folder(t.spark)}/stream-models-{uuid.uuid4().hex}"
-    classifier = fitted(t, tr.boosted_classifier(), ft.TARGET)[:2]
-    regressor = fitted(t, tr.boosted_regressor(), None)[:2]
-    rs.save_models(f"{folder}/models", classifier, regressor)
+    rs.save_models(f"{folder}/models", *fitted_pair(t))
     asked = requests(t)
     key = F.col("request_id").cast("long")
     at = F.timestamp_seconds(F.lit(1767225600) + (key * 7919) % 3000)

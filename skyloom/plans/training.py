@@ -95,7 +95,8 @@ def save_encoding(encoding: Encoding, path: str) -> None:
 
 def load_encoding(spark: SparkSession, path: str) -> Encoding:
     # One row per model column.
-    rows = spark.read.parquet(f"{path}/columns").orderBy("kind", "place").collect()
+    columns = spark.read.schema("place int, name string, kind string, median double").parquet(f"{path}/columns")
+    rows = sorted(columns.collect(), key=lambda r: r["place"])
     return Encoding(
         [r["name"] for r in rows if r["kind"] == "category"],
         [r["name"] for r in rows if r["kind"] == "number"],

@@ -467,3 +467,31 @@ def test_unanswered_requests_do_not_meet_in_one_task(spark):
     assert sorted(r["request_id"] for r in found) == sorted(r[0] for r in data)
     assert [(r["request_id"], r["place"]) for r in found if r["place"] is not None] == [("r0", 1)]
     assert max(sum(1 for r in found if r["task"] == k) for k in {r["task"] for r in found}) < 200
+
+
+def test_small_batches_are_planned_for_their_size(spark, tmp_path):
+    flights = spark.createDataFrame(
+        [(1, "AF 1", "2026-01-01", "CDG", "NCE", "2026-01-01 10:00+01:00")],
+        "place int, flight_number string, flight_date string, airport_origin string, airport_destination string, scheduled_departure string",
+    )
+    inbox, out, state = tmp_path / "in", tmp_path / "out", tmp_path / "state"
+    inbox.mkdir()
+    line = {"request_id": "a", "flight_number": "AF1", "date": "2026-01-01T10:05", "departure_airport": "CDG", "arrival_airport": "NCE", "asked_at": "2026-01-01T09:00:00"}
+    (inbox / "a.json").write_text(json.dumps(line))
+    adaptive = []
+
+    def score(answers):
+        adaptive.append(answers.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        return answers
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        stream.answer_stream(stream.read_requests(spark, str(inbox)), flights, ["place"], str(out), str(state), score).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [r["status"] for r in stream.read_answers(spark, str(out)).collect()] == ["success"]
+    assert set(adaptive) == {"true"}
+    parts = [p for p in (state / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(parts) == max(stream.STATE_PARTITIONS, 2 * spark.sparkContext.defaultParallelism)
