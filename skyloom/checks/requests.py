@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from skyloom.checks.base import LINE_ORDER, Tables, airport_of, query, sql_airport
@@ -136,12 +138,16 @@ def reply_table(t: Tables) -> DataFrame:
     )
 
 
-def _scored(t: Tables, answers: DataFrame, models) -> DataFrame:
-    classifier, regressor = models
-    known = flights(t).selectExpr(
+def _known(t: Tables) -> DataFrame:
+    """Flights as answers name them, with what the models need of each."""
+    return flights(t).selectExpr(
         "flight_number", "scheduled_departure", "airport_origin", "airport_destination", *ORDER,
         "l_returnflag as flag", "l_linestatus as status_code",
     )
+
+
+def _scored(answers: DataFrame, known: DataFrame, models) -> DataFrame:
+    classifier, regressor = models
     found = sc.answered_rows(answers, known, ORDER)
     rows = found.withColumnsRenamed({"status": "outcome", "status_code": "status"})
     rows = rows.withColumn("matched", F.col("matched_flight_number").isNotNull())
@@ -156,7 +162,7 @@ def score_requests(t: Tables) -> DataFrame:
     A score is sound when the probability and the minutes are in their ranges and flag and band follow from them.
     """
     models = fitted_pair(t)
-    found = _scored(t, stored(match(requests(t), flights(t), ORDER)), models)
+    found = _scored(stored(match(requests(t), flights(t), ORDER)), _known(t), models)
     minutes = F.col("predicted_arrival_delay_minutes")
     sound = F.col("delay_probability").between(0, 1) & (minutes >= 0) & (F.col("is_delayed") == (F.col("delay_probability") > 0.5)) & (F.col("risk") == risk_band(minutes))
     return found.select("request_id", "outcome", F.col("delay_probability").isNotNull().alias("scored"), F.coalesce(sound, F.lit(True)).alias("sound"))
@@ -197,7 +203,12 @@ def request_stream_models(t: Tables) -> DataFrame:
     started a third time. ``same``: the stream's scores equal those of scoring the whole table with the same models.
     """
     folder = f"{shared_folder(t.spark)}/stream-models-{uuid.uuid4().hex}"
-    rs.save_models(f"{folder}/models", *fitted_pair(t))
+    # The three starts read one table of candidates, the batches one table of known flights; they are laid out while the fits run.
+    with ThreadPoolExecutor(2) as pool:
+        offering = pool.submit(inheritable_thread_target(prepared), flights(t), ORDER)
+        knowing = pool.submit(inheritable_thread_target(stored), _known(t))
+        rs.save_models(f"{folder}/models", *fitted_pair(t))
+        offered, known = offering.result(), knowing.result()
     asked = requests(t)
     key = F.col("request_id").cast("long")
     at = F.timestamp_seconds(F.lit(1767225600) + (key * 7919) % 3000)
@@ -207,7 +218,7 @@ def request_stream_models(t: Tables) -> DataFrame:
     t.spark.createDataFrame([(1,)], "x int").write.parquet(marker)
 
     def score(answers: DataFrame, models) -> DataFrame:
-        found = _scored(t, answers, models)
+        found = _scored(answers, known, models)
         jvm = t.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(marker)
         system = path.getFileSystem(t.spark._jsc.hadoopConfiguration())
@@ -216,8 +227,6 @@ def request_stream_models(t: Tables) -> DataFrame:
             return found.withColumn("request_id", F.when(F.col("request_id").cast("long") % 2 == 1, F.raise_error(F.lit("lost in the write"))).otherwise(F.col("request_id")))
         return found
 
-    offered = prepared(flights(t), ORDER)  # the three starts read one stored table
-
     def run() -> None:
         job = rs.answer_stream(
             rs.read_requests(t.spark, f"{folder}/in", files_per_batch=1), flights(t), ORDER, f"{folder}/out", f"{folder}/state",
@@ -235,7 +244,7 @@ def request_stream_models(t: Tables) -> DataFrame:
     second.withColumn(rs.EVENT_TIME, at - F.expr("INTERVAL 10 MINUTES")).repartition(4, "request_id").write.mode("append").json(f"{folder}/in")
     run()
     streamed = rs.read_answers(t.spark, f"{folder}/out")
-    batch = _scored(t, stored(match(requests(t), flights(t), ORDER)), rs.load_models(t.spark, f"{folder}/models"))
+    batch = _scored(stored(match(requests(t), flights(t), ORDER)), _known(t), rs.load_models(t.spark, f"{folder}/models"))
     both = streamed.select("request_id", *[F.col(c).alias(f"s_{c}") for c in SCORES]).join(batch, "request_id", "full")
     same = F.lit(True)
     for c in SCORES:
